@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op1_decontamination
+from .neardup import op7_neardup
+from .neighbours import op6_neighbours
 from .packing import op2_packing
+from .quality import op3_quality
+from .sharding import op10_sharding
+from .warc import op9_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing}
+    return {f.__name__: f for f in (op1_decontamination, op2_packing, op3_quality, op6_neighbours, op7_neardup, op9_warc, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
