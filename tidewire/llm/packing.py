@@ -15,6 +15,7 @@ length is cut into full pieces and one rest; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -47,7 +48,7 @@ class _WordIds(dict):
     Two generations of words are held, so memory is bounded and frequent words stay.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -71,18 +72,18 @@ class _WordIds(dict):
             return self[stem] + self[last]
         if word.isascii() and word.isalpha() and not word.islower():
             return self[word.lower()]
-        return np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids := self.encode(word, add_special_tokens=False).ids)}I", *ids)
 
 
 _WORDS: dict[str, _WordIds] = {}
-_SPACE = str.maketrans("\n\r\t", "   ")
 
 
 def ids_of(text: str | None, path: str, end_id: int | None = END_ID) -> bytes:
     """Ids of a text as unsigned 32-bit little-endian bytes, then the end id."""
     if path not in _WORDS:
         _WORDS[path] = _WordIds(path)
-    ids = b"".join(map(_WORDS[path].__getitem__, (text or "").translate(_SPACE).split(" ") if text else ()))
+    words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else ()
+    ids = b"".join(map(_WORDS[path].__getitem__, words))
     return ids if end_id is None else ids + np.uint32(end_id).astype("<u4").tobytes()
 
 
