@@ -110,10 +110,27 @@ def featurise(docs: DataFrame) -> DataFrame:
     return stage(rows.mapInArrow(_featurise, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fold bigint, x array<float>"), "features")
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.round(F.avg("quality")).alias("y"))
+
+
 def train(found: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> boosting.Forest:
     """Trees fitted to at most ``sample`` labelled rows outside fold 0."""
-    marks = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.round(F.avg("quality")).alias("y"))
-    rows = found.filter("fold <> 0").join(marks, "doc_id").orderBy(F.xxhash64("doc_id")).limit(sample).select("x", "y").toArrow()
+    rows = found.filter("fold <> 0").join(_marks(labels), "doc_id").orderBy(F.xxhash64("doc_id")).limit(sample).select("x", "y").toArrow()
+    return _fit(rows)
+
+
+def train_on(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> boosting.Forest:
+    """The same from texts: only those of the sample are turned into features."""
+    marks = _marks(labels).filter(fold(F.col("doc_id"), FOLDS) != 0).withColumnRenamed("doc_id", "id")
+    there = docs.select("doc_id")
+    marks = stage(marks.join(there, marks["id"] == there["doc_id"], "left_semi").orderBy(F.xxhash64("id")).limit(sample), "sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("id"), "left_semi")
+    found = featurise(rows).join(F.broadcast(marks), F.col("doc_id") == F.col("id"))
+    return _fit(found.select("x", "y").toArrow())
+
+
+def _fit(rows: pa.Table) -> boosting.Forest:
     return boosting.fit(_rows(rows["x"].combine_chunks()) if rows.num_rows else np.zeros((0, len(FEATURES))), rows["y"].to_numpy())
 
 
