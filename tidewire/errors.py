@@ -46,7 +46,7 @@ _SECRETS = [
     re.compile(r"(?i)\b(bearer|basic|token)\s+[a-z0-9._~+/=-]{8,}"),
     re.compile(r"\b(?:gh[pousr]_|github_pat_|xox[abpors]-|sk-|sk_live_|sk_test_|AKIA|AIza)[A-Za-z0-9_-]{8,}"),
     re.compile(r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*"),
-    re.compile(r"""(?i)("?(?:access_?token|refresh_?token|client_?secret|password|api_?key|secret)"?\s*[:=]\s*)"?[^"&\s,}]+"?"""),
+    re.compile(r"""(?i)("?(?:access_?token|refresh_?token|token|client_?secret|password|api_?key|secret)"?\s*[:=]\s*)"?[^"&\s,}]+"?"""),
 ]
 _SENSITIVE = re.compile(r"(?i)token|secret|passw|api[-_]?key|auth|signature|credential|session")
 
@@ -63,8 +63,8 @@ def redact_url(url: str) -> str:
     head, mark, query = url.partition("?")
     if not mark:
         return redact(url)
-    parts = [k + "=[REDACTED]" if _SENSITIVE.search(k) and eq else k + eq + v for k, eq, v in (p.partition("=") for p in query.split("&"))]
-    return redact(f"{head}?{'&'.join(parts)}")
+    parts = [k + "=[REDACTED]" if _SENSITIVE.search(k) and eq else redact(k + eq + v) for k, eq, v in (p.partition("=") for p in query.split("&"))]
+    return f"{redact(head)}?{'&'.join(parts)}"
 
 
 def clean_message(error: BaseException) -> str:

@@ -6,6 +6,8 @@ import logging
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import types as T
+
 from ..errors import SpecError
 
 log = logging.getLogger("tidewire")
@@ -103,8 +105,12 @@ def array_fields(record: Type) -> list[tuple[str, Type]]:
     return [(name, t.items or UNKNOWN) for name, t in sorted(record.properties) if t.kind == "array"]
 
 
-def ddl(cols: list[Column]) -> str:
-    return ", ".join(f"`{c.name}` {c.type}" for c in cols)
+_SPARK = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
+def struct(cols: list[Column]) -> T.StructType:
+    """The Spark schema; every column is nullable, whatever the description requires."""
+    return T.StructType([T.StructField(c.name, _SPARK[c.type], True) for c in cols])
 
 
 def walk(record: Type, pointer: list[str]) -> Type | None:

@@ -383,12 +383,12 @@ class RestSource(DataSource):
         return spec
 
     def schema(self):
-        return self.options["_schema"] if "_schema" in self.options else self._spec().ddl
+        return self.options["_schema"] if "_schema" in self.options else self._spec().struct
 
     def _check(self, schema: StructType) -> None:
         if "_schema" in self.options:
             return
-        ours = StructType.fromDDL(self._spec().ddl)
+        ours = self._spec().struct
         if [(f.name, f.dataType) for f in schema] != [(f.name, f.dataType) for f in ours]:
             raise ConfigError("a schema can't be given: it comes from the API description")
 

@@ -6,9 +6,11 @@ import logging
 import re
 from dataclasses import dataclass, replace
 
+from pyspark.sql.types import StructField, StructType, VariantType
+
 from ..errors import NoSuchTable, SpecError
 from ..functions import pointers
-from ..functions.schema import Column, Type, array_fields, columns, ddl, walk
+from ..functions.schema import Column, Type, array_fields, columns, struct, walk
 from .config import Pagination, Source, Table
 from .spec import Endpoint, Spec
 
@@ -32,12 +34,8 @@ class TableSpec:
     element: tuple[Column, ...] = ()
 
     @property
-    def ddl(self) -> str:
-        return "`value` variant" if self.variant else ddl(list(self.columns))
-
-    @property
-    def all_columns(self) -> tuple[Column, ...]:
-        return self.columns
+    def struct(self) -> StructType:
+        return StructType([StructField("value", VariantType(), True)]) if self.variant else struct(list(self.columns))
 
 
 def _template(path: str) -> str:

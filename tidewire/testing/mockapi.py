@@ -124,6 +124,8 @@ class MockApi:
 
         class Handler(BaseHTTPRequestHandler):
             protocol_version = "HTTP/1.1"
+            disable_nagle_algorithm = True
+            wbufsize = 1 << 16
 
             def log_message(self, *args):
                 pass
