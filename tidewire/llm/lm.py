@@ -269,7 +269,7 @@ def _score(kind: pa.DataType, n: int, v: int, filters):
         m = len(size)
         with_base = shard.first == 0
         out = {"block": pa.array([get("block")] * m, pa.int64()), "nth": pa.array(range(m), pa.int64()), "doc_id": chunk["docs"].combine_chunks().flatten().cast(kind), "held_out": pa.array(held), "n_tokens": pa.array(size), "n_known": pa.array(np.bincount(docs, count[code] > 0, minlength=m).astype(np.int64) * with_base)}
-        out |= {"base_score": pa.array(np.bincount(docs, np.log10(unigram)[code], minlength=m) * with_base), "score": pa.array(np.bincount(docs[mine], logs, minlength=m))}
+        out |= {"base_score": pa.array(np.bincount(docs, np.log10(unigram)[code], minlength=m) * with_base), "score": pa.array(np.bincount(docs[mine], logs, minlength=m).astype(float))}
         return pa.table(out)
 
     def safe(chunk: pa.Table, totals: pa.Table) -> pa.Table:

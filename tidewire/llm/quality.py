@@ -87,7 +87,7 @@ def features(column) -> np.ndarray:
             line_kinds, _ = _distinct(of[heads], mix(sums), n)
         tail = np.minimum(length[np.maximum(chunk.bounds[1:] - 1, 0)], 50) if len(length) else np.zeros(n)
         out[chunk.first : chunk.first + n] = np.column_stack(
-            [kinds / one[:, None], np.log1p(size), np.log1p(count), mean, sd, longest, distinct / some, top / some, 1 - two / np.maximum(pairs, 1), count / np.maximum(lines, 1), 1 - line_kinds / np.maximum(lines, 1), np.where(count > 0, tail, 0)]
+            [kinds / one[:, None], np.log1p(size), np.log1p(count), mean, sd, longest, distinct / some, top / some, np.where(pairs > 0, 1 - two / np.maximum(pairs, 1), 0), count / np.maximum(lines, 1), np.where(lines > 0, 1 - line_kinds / np.maximum(lines, 1), 0), np.where(count > 0, tail, 0)]
         )
     return out
 
@@ -127,7 +127,7 @@ def train_on(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> boosti
     marks = stage(marks.join(there, marks["id"] == there["doc_id"], "left_semi").orderBy(F.xxhash64("id")).limit(sample), "sample")
     rows = docs.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("id"), "left_semi")
     found = featurise(rows).join(F.broadcast(marks), F.col("doc_id") == F.col("id"))
-    return _fit(found.select("x", "y").toArrow())
+    return _fit(found.orderBy(F.xxhash64("doc_id")).select("x", "y").toArrow())
 
 
 def _fit(rows: pa.Table) -> boosting.Forest:

@@ -12,6 +12,7 @@ from .licenses import op8_licenses
 from .lm import op5_lm
 from .neardup import op7_neardup
 from .neighbours import op6_neighbours
+from .oracles import DECONTAMINATION, NEARDUP
 from .packing import op2_packing
 from .quality import op3_quality
 from .sharding import op10_sharding
@@ -25,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontamination": DECONTAMINATION, "op7_neardup": NEARDUP}
