@@ -8,11 +8,11 @@ connected set of linked texts, and its id the smallest doc_id in it. Equal texts
 2. Texts that share a band make a bucket. A bucket is never expanded into all its pairs. Each text has a centrality,
    the sum of the sizes of its buckets: the text that copies were made from shares buckets with most of them. The most
    central texts of a bucket are its hubs, and every other member is compared with each hub; buckets of up to
-   ``HUBS + 1`` texts are thus compared in full. Further rounds take new hubs from the members that aren't yet in the
-   class of the bucket's first hub.
+   ``HUBS + 1`` texts are thus compared in full. A second round takes hubs from the members of larger buckets that
+   aren't in the class of the bucket's first hub yet, and compares them with all its members.
 3. Candidates are checked exactly on the sets of runs of their whole texts.
-4. Links become classes by rounds of minimum labels over both ends of each link with pointer jumping; links and labels
-   stay distributed, and every round is a table in the shared folder.
+4. Links become classes by rounds of contraction: texts move to their best linked neighbour. Links and moves stay
+   distributed, and every round is a table in the shared folder.
 
 Nulls and edge cases: a text of fewer than five words, but not none, has one run of all of them; texts without words
 are only equal to themselves; a null text is a class of its own, with its doc_id as class_id; a null doc_id sorts last
@@ -39,7 +39,7 @@ RUN = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
 #: Hubs of a bucket of up to SMALL texts, and of a larger one.
-HUBS, FEW_HUBS, SMALL = 7, 3, 64
+HUBS, FEW_HUBS, SMALL = 7, 1, 64
 ROUNDS = 2
 #: Above so many texts to compare their ids aren't broadcast.
 MAX_KEYS = 500_000
@@ -137,18 +137,28 @@ def verify(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Rows (text, root): the smallest text of each connected set, for every text with a link."""
-    edges = stage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = stage(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).select(F.col("a").alias("text"), "root"), "labels")
-    while True:
-        near = edges.join(label.select(F.col("text").alias("b"), F.col("root").alias("theirs")), "b").groupBy(F.col("a").alias("text")).agg(F.min("theirs").alias("theirs"))
-        step = label.join(near, "text").select("text", F.col("root").alias("was"), F.least("root", "theirs").alias("root"))
-        jump = label.select(F.col("text").alias("root"), F.col("root").alias("further"))
-        step = stage(step.join(jump, "root").select("text", "was", F.least("root", "further").alias("root")), "labels")
-        changed = step.filter("root <> was").limit(1).count()
-        label = step.select("text", "root")
-        if not changed:
-            return label
+    """Rows (text, root): one text of each connected set, for every text with a link.
+
+    Each round every text moves to the best of itself and its neighbours: the one with the most links, ties by a hash
+    that changes with the round. Links then join the new places; those inside one place are done. A star is one place
+    after one round, and whatever is left shrinks by a constant factor in each, so rounds grow with the logarithm.
+    """
+    edges = stage(links.select("a", "b").distinct(), "edges")
+    moves: list[DataFrame] = []
+    while edges.limit(1).count():
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        degree = both.groupBy("a").agg(F.count("*").alias("links"))
+        rank = degree.select(F.col("a").alias("b"), F.struct((-F.col("links")).alias("links"), F.xxhash64(F.col("a"), F.lit(len(moves))).alias("hash"), F.col("a").alias("text")).alias("rank"))
+        best = both.join(rank, "b").groupBy("a").agg(F.min("rank").alias("best"))
+        move = best.join(rank.withColumnRenamed("b", "a"), "a").select(F.col("a").alias("text"), F.least("best", "rank")["text"].alias("root"))
+        move = stage(move, "moves")
+        moved = edges.join(move.select(F.col("text").alias("a"), F.col("root").alias("x")), "a").join(move.select(F.col("text").alias("b"), F.col("root").alias("y")), "b")
+        edges = stage(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        moves.append(move)
+    label = moves[0] if moves else links.select(F.col("a").alias("text"), F.col("a").alias("root"))
+    for move in moves[1:]:
+        label = label.join(move.select(F.col("text").alias("root"), F.col("root").alias("next")), "root", "left").select("text", F.coalesce("next", "root").alias("root"))
+    return stage(label, "labels")
 
 
 def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -176,6 +186,8 @@ def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         if not more.limit(1).count():
             break
         new = verify(more, texts, docs)
+        if not new.limit(1).count():
+            break
         pairs = pairs.union(more)
         links = links.union(new)
         label = components(links)
