@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import got
+from made import got
 
 from tidewire.llm import decontamination as op
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import got
+from made import got
 
 from tidewire.llm import extraction as op
 

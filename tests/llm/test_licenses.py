@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import got
+from made import got
 
 from tidewire.llm import licenses as op
 

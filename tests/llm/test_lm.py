@@ -47,9 +47,9 @@ def brute(rows, quantised):
     return out
 
 
-@pytest.mark.parametrize("filter_bytes", [op.FILTER_BYTES, 64])
+@pytest.mark.parametrize("filter_bytes", [op.FILTER_BYTES, 12_000])
 def test_against_brute_force(docs, rows, filter_bytes):
-    found = [tuple(r) for r in op.score(docs, filter_bytes=filter_bytes, range_pairs=100).collect()]
+    found = [tuple(r) for r in op.score(docs, filter_bytes=filter_bytes, range_pairs=4000).collect()]
     want = brute(rows, True)
     key = lambda r: (repr(r[0]), r[2], round(r[5], 6))
     found.sort(key=key)

@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import got, prose
+from made import got, prose
 
 from tidewire.llm import neardup as op
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import got
+from made import got
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import got, prose
+from made import got, prose
 
 from tidewire.llm import boosting
 from tidewire.llm import quality as op

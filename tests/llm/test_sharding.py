@@ -2,7 +2,7 @@ import zlib
 from itertools import accumulate
 
 import pytest
-from conftest import got
+from made import got
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

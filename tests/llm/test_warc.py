@@ -3,7 +3,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import got
+from made import got
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
