@@ -208,6 +208,13 @@ def test_variant(spark, api):
     assert sorted((r.x or 0.0, r.n) for r in got) == [(0.0, False), (0.0, True), (2.5, False)]
 
 
+def test_exploded_tables_are_strict(spark, api):
+    api.routes["/people"] = [{"id": 1, "tags": ["x", "y"]}]
+    e = engine(spark, api, {"/people": get(arr(RECORD))}, "schema { mode = variant, array-handling = both }")
+    assert e.describe("people") == [("value", "variant")] and ("tags", "string") in e.describe("people_tags")
+    assert rows(sql(e, "SELECT id, tags FROM api.people_tags")) == rows(e.table("people_tags", columns=["id", "tags"])) == [(1, "x"), (1, "y")]
+
+
 def test_nulls_of_required_fields(spark, api):
     api.routes["/u"] = [{"id": 1, "nick": "a", "profile": {"name": "Ada"}}, {"id": 2, "nick": None}, {"id": 3}]
     schema = arr(obj(id=INT, nick=TEXT, profile=obj(name=TEXT)) | {"required": ["id", "nick", "profile"]})

@@ -10,6 +10,7 @@ import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,11 +65,13 @@ class Engine:
         spec = self.catalog.table(table)
         return [("value", "variant")] if spec.variant else [(c.name, c.type) for c in spec.columns]
 
-    def _format(self, spec: TableSpec) -> str:
-        """The name of the data source bound to a table."""
-        name = f"{self.name}__{spec.name}".lower()
+    def _format(self, spec: TableSpec, strict: bool = False) -> str:
+        """The name of the data source bound to a table. strict: with typed columns, whatever the mode is."""
+        name = f"{self.name}__{'strict__' if strict else ''}{spec.name}".lower()
         if name not in self._registered:
             catalog, table = self.catalog, spec.name
+            if strict:
+                catalog = Catalog(replace(self.source, schema=replace(self.source.schema, mode="strict")), self.catalog.spec)
 
             class Bound(RestSource):
                 CATALOG = catalog
@@ -96,8 +99,10 @@ class Engine:
         target = f"{quoted(self.name)}.{quoted(spec.name)}"
         if spec.kind == "exploded":
             base = f"{quoted(self.name)}.{quoted(spec.parent.name)}"
-            if spec.parent.variant or self.source.schema.mode == "variant":
-                return
+            if self.source.schema.mode == "variant":  # arrays need typed parents
+                base = f"{quoted(self.name)}.{quoted(f'_strict_{spec.parent.name}')}"
+                self.spark.sql(f"DROP TABLE IF EXISTS {base}")
+                self.spark.sql(f"CREATE TABLE {base} USING {self._format(spec.parent, strict=True)}")
             self.spark.sql(f"CREATE OR REPLACE VIEW {target} AS {view_sql(spec, base, self.source.schema.explode_outer)}")
             return
         kind = self._format(spec)
@@ -116,7 +121,7 @@ class Engine:
         """
         spec = self.catalog.table(name)
         if spec.kind == "exploded":
-            base = self.table(spec.parent.name, where={k: v for k, v in (where or {}).items() if k in {c.name for c in spec.parent.columns}}, verify=verify, options=options)
+            base = self._strict_base(spec.parent, options) if self.source.schema.mode == "variant" else self.table(spec.parent.name, where={k: v for k, v in (where or {}).items() if k in {c.name for c in spec.parent.columns}}, verify=verify, options=options)
             view = f"_{self.name}_{spec.name}_base"
             base.createOrReplaceTempView(view)
             out = self.spark.sql(view_sql(spec, quoted(view), self.source.schema.explode_outer))
@@ -144,6 +149,9 @@ class Engine:
                 out = F.broadcast(out)
         return out
 
+    def _strict_base(self, spec: TableSpec, options: dict[str, str] | None) -> DataFrame:
+        return self.spark.read.format(self._format(spec, strict=True)).options(**(options or {})).load()
+
     def sql(self, text: str) -> DataFrame:
         """A query; ``<name>.default.<table>`` is understood, and columns, limits and aggregates reach the API."""
         text = rewrites.three_parts(text, self.name)
@@ -235,7 +243,10 @@ class Engine:
     @contextmanager
     def conversions(self, table: str) -> Iterator[tuple[DataFrame, dict[str, int]]]:
         """A table, and counts of converted values and of those made NULL, filled in when the block ends."""
-        folder = tempfile.mkdtemp(prefix="tidewire-metrics-")
+        shared = (self.spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")
+        if shared.startswith("/"):
+            os.makedirs(shared, exist_ok=True)
+        folder = tempfile.mkdtemp(prefix="tidewire-metrics-", dir=shared if shared.startswith("/") else None)
         counts = {"converted": 0, "nulled": 0}
         try:
             yield self.table(table, options={"_metrics": folder}), counts
