@@ -5,14 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .plans.engine import Engine
+from .session import prepare
 from .sources import config as configs
 from .sources import hocon
+from .sources.datasource import RestSource
 from .testing.mockapi import MockApi, describe, table
 
 CONFIG = """
@@ -46,6 +49,7 @@ tables {
       most  { function = max, column = o_totalprice, endpoint = "/orders/stats", response-path = "/max" }
     }
   }
+  orders_reserved { endpoint = "/orders", data-path = "/results", filters = [{ param = limit, column = o_custkey, operators = [eq] }] }
   orders_by_status { endpoint = "/orders", data-path = "/results", partition { type = enum, param = status, values = [P, F, O] } }
   orders_by_date {
     endpoint = "/orders", data-path = "/results"
@@ -64,6 +68,7 @@ tables {
     endpoint = "/events", data-path = "/results"
     checkpoint { enabled = true, path = ${STATE}, mode = offset }
   }
+  events_since { endpoint = "/events", data-path = "/results", checkpoint { enabled = true, path = ${STATE}, mode = timestamp, timestamp-path = "/ts", timestamp-param = since } }
   event_changes { endpoint = "/events", data-path = "/results", checkpoint { mode = timestamp, timestamp-path = "/ts", timestamp-param = since } }
 }
 """
@@ -128,19 +133,23 @@ def _sql(text: str, **kwargs) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two incremental reads: the first all rows there are, the second none, as none were added."""
-    e = engine(spark, sf_dir)
-    folder = tempfile.mkdtemp(prefix="tidewire-state-")
-    table = e.catalog.base("events")
-    object.__setattr__(table.table.checkpoint, "path", folder)
-    parts = []
-    fresh = Engine(spark, f"{e.name}_c{os.path.basename(folder)[-6:].replace('-', '_')}", e.source, describe(api(sf_dir)))
-    for i in range(2):
-        with fresh.incremental("events") as df:
-            rows = df.agg(F.count("*").alias("n"), F.coalesce(F.sum("event_id"), F.lit(0)).alias("ids")).collect()[0]
-        parts.append((i + 1, rows["n"], rows["ids"]))
-    return spark.createDataFrame(parts, "run int, n bigint, ids bigint")
+def _checkpoint(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Two incremental reads of a table, nothing being added in between."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        e = engine(spark, sf_dir)
+        folder = tempfile.mkdtemp(prefix="tidewire-state-")
+        table = e.source.tables[name]
+        tables = e.source.tables | {name: replace(table, checkpoint=replace(table.checkpoint, path=folder))}
+        fresh = Engine(spark, f"{e.name}_{os.path.basename(folder)[-8:].replace('-', '_')}", replace(e.source, tables=tables), describe(api(sf_dir)))
+        parts = []
+        for i in (1, 2):
+            with fresh.incremental(name) as df:
+                rows = df.agg(F.count("*").alias("n"), F.coalesce(F.sum("event_id"), F.lit(0)).alias("ids")).collect()[0]
+            parts.append((i, rows["n"], rows["ids"]))
+        return spark.createDataFrame(parts, "run int, n bigint, ids bigint")
+
+    return run
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +178,56 @@ def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times(Engine(spark, f"messy_{abs(hash((id(spark), sf_dir))) % 10**8}", source, spec).table("messy"))
 
 
+def _one_table(spark: SparkSession, name: str, text: str, schema: dict, base_url: str) -> Engine:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    source = configs.of(hocon.parse("openapi = mock\n" + text, "queries", {"BASE": base_url}))
+    spec = {"openapi": "3.0.0", "paths": {t.endpoint: {"get": {"responses": {"200": {"content": {"application/json": {"schema": schema}}}}}} for t in source.tables.values()}}
+    return Engine(spark, f"{name}_{abs(hash((id(spark), base_url))) % 10**8}", source, spec).register()
+
+
+_NATION = {"type": "array", "items": {"type": "object", "properties": {"n_nationkey": {"type": "integer", "format": "int32"}, "n_name": {"type": "string"}}}}
+
+
+def _oauth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A resource that wants a token from the client-credentials flow; the first token is refused, so it is refreshed."""
+    m, given = api(sf_dir), []
+    m.routes["/oauth/token"] = lambda q, h, b: (given.append(1), {"access_token": f"token{len(given)}", "expires_in": 600})[1]
+    m.routes["/secure/nation"] = lambda q, h, b: m.resources["nation"].text({}, 0, 10**6)[0].join("[]") if h.get("Authorization", "").removeprefix("Bearer token").isdigit() and not h["Authorization"].endswith("token1") else (401, {}, "{}")
+    text = 'base-url = ${BASE}\nauth { type = oauth2, client-id = id, client-secret = hush, token-url = ${BASE}/oauth/token }\ntables { nation { endpoint = "/secure/nation" } }'
+    return _one_table(spark, "oauth", text, _NATION, m.url).table("nation")
+
+
+def _retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A resource that fails twice for every read before it answers."""
+    m, seen = api(sf_dir), []
+    m.routes["/shaky/nation"] = lambda q, h, b: (503 if len(seen) % 3 == 1 else 429, {"Retry-After": "0"}, "{}") if (seen.append(1), len(seen) % 3)[1] else m.resources["nation"].text({}, 0, 10**6)[0].join("[]")
+    return _one_table(spark, "shaky", 'base-url = ${BASE}\ntables { nation { endpoint = "/shaky/nation" } }', _NATION, m.url).table("nation")
+
+
+def _greedy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages larger than asked for: each offset window keeps its own rows only."""
+    m = api(sf_dir)
+    rows = m.resources["nation"].rows
+    m.routes["/greedy/nation"] = lambda q, h, b: '{"results": [' + ", ".join(rows[int(q["offset"]) : int(q["offset"]) + 10]) + "]}"
+    text = 'base-url = ${BASE}\npagination { style = offset, page-size-param = limit, max-page-size = 4, results-path = "/results" }\ntables { nation { endpoint = "/greedy/nation", data-path = "/results", partition { type = offset, size = 7, count = 4 } } }'
+    return _one_table(spark, "greedy", text, {"type": "object", "properties": {"results": _NATION}}, m.url).table("nation")
+
+
+def _by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A temporary view over the data source, from a configuration file."""
+    m = api(sf_dir)
+    m.routes["/openapi.json"] = describe(m)
+    folder = tempfile.mkdtemp(prefix="tidewire-config-")
+    path = os.path.join(folder, "supplier.conf")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f'openapi = "{m.url}/openapi.json"\nbase-url = "{m.url}"\ncache {{ enabled = false }}\npagination {{ style = none }}\ntables {{ supplier {{ endpoint = "/supplier.all" }} }}\n')
+    prepare(spark)
+    spark.dataSource.register(RestSource)
+    view = f"supplier_{abs(hash(path)) % 10**8}"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} USING tidewire OPTIONS (config '{path}', table 'supplier')")
+    return spark.sql(f"SELECT s_suppkey, s_name FROM {view} WHERE s_acctbal > 0")
+
+
 def _aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = engine(spark, sf_dir).aggregate("orders", n=("count", None), total=("sum", "o_totalprice"), mean=("avg", "o_totalprice"))
     return out.select("n", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"))
@@ -222,8 +281,16 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "j1_join_nested": (_sql("SELECT CAST(_parent_c_custkey AS bigint) AS c_custkey, o_orderkey FROM api.order_of"), None),
     "j3_join_batch": (_sql("SELECT CAST(_parent_c_custkey AS bigint) AS c_custkey, o_orderkey, o_totalprice FROM api.orders_in"), "SELECT c_custkey, o_orderkey, o_totalprice FROM customer JOIN orders ON o_custkey = c_custkey"),
     "j8_join_parallel": (_join_parallel, "SELECT c_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey"),
-    "c1_checkpoint_incremental": (_checkpoint, "SELECT CAST(1 AS INTEGER) AS run, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events UNION ALL SELECT 2, 0, 0"),
+    "c1_checkpoint_incremental": (_checkpoint("events"), "SELECT CAST(1 AS INTEGER) AS run, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events UNION ALL SELECT 2, 0, 0"),
     "w1_stream_available_now": (_stream, f"SELECT {EVENTS} FROM events WHERE ts > TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-20'"),
+    "c5_checkpoint_timestamp": (_checkpoint("events_since"), "SELECT CAST(1 AS INTEGER) AS run, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events UNION ALL SELECT 2, count(*), CAST(sum(event_id) AS BIGINT) FROM events WHERE ts = (SELECT max(ts) FROM events)"),
+    "s3_view_by_name": (_by_name, "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0"),
+    "h2_oauth_refresh": (_oauth, "SELECT n_name, n_nationkey FROM nation"),
+    "h4_retries": (_retry, "SELECT n_name, n_nationkey FROM nation"),
+    "p5_oversize_pages": (_greedy_pages, "SELECT n_name, n_nationkey FROM nation"),
+    "f2_verified_filter": (lambda s, d: engine(s, d).table("customer", columns=["c_custkey"], where={"c_mktsegment": "BUILDING"}, verify=True), "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'"),
+    "f4_reserved_parameter": (_sql("SELECT o_orderkey FROM api.orders_reserved WHERE o_custkey = 7"), "SELECT o_orderkey FROM orders WHERE o_custkey = 7"),
+    "l2_limit_offset": (lambda s, d: engine(s, d, page=400).table("orders", columns=["o_orderkey"], limit=137).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM (SELECT 1 FROM orders LIMIT 137)"),
     "g1_rollup": (_sql("SELECT coalesce(o_orderstatus, '-') AS status, coalesce(o_orderpriority, '-') AS priority, count(*) AS n FROM api.orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)"), "SELECT coalesce(o_orderstatus, '-') AS status, coalesce(o_orderpriority, '-') AS priority, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)"),
     "g2_window_rank": (_window, "SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(rank AS INTEGER) AS rank FROM (SELECT o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5"),
     "g3_topk": (_sql("SELECT o_orderkey, o_totalprice FROM api.orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"),
