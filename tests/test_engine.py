@@ -215,6 +215,14 @@ def test_exploded_tables_are_strict(spark, api):
     assert rows(sql(e, "SELECT id, tags FROM api.people_tags")) == rows(e.table("people_tags", columns=["id", "tags"])) == [(1, "x"), (1, "y")]
 
 
+def test_raw_json_keeps_its_numbers(spark, api):
+    api.routes["/r"] = '[{"id": 1.0, "t": "x", "o": [1e2, 2.50]}, {"t": 1e2}, {"id": 1e309}]'
+    schema = arr(obj(id=NUM, t=TEXT, o=arr(NUM)))
+    e = engine(spark, api, {"/r": get(schema)})
+    assert rows(sql(e, "SELECT coalesce(id, 0), coalesce(t, '-'), coalesce(o, '-') FROM api.r")) == [(0.0, "-", "-"), (0.0, "1e2", "-"), (1.0, "x", "[1e2,2.50]")]
+    assert rows(sql(e, "SELECT coalesce(id, 0) FROM api.r")) == [(0.0,), (0.0,), (1.0,)]
+
+
 def test_nulls_of_required_fields(spark, api):
     api.routes["/u"] = [{"id": 1, "nick": "a", "profile": {"name": "Ada"}}, {"id": 2, "nick": None}, {"id": 3}]
     schema = arr(obj(id=INT, nick=TEXT, profile=obj(name=TEXT)) | {"required": ["id", "nick", "profile"]})

@@ -32,9 +32,14 @@ class Number(float):
         return (Number, (self.text,))
 
 
-def loads(text: str | bytes) -> Any:
-    """JSON with numbers' source text kept."""
-    return json.loads(text, parse_float=Number)
+def loads(text: str | bytes, exact: bool = True) -> Any:
+    """JSON; exact: with numbers' source text kept, which takes longer."""
+    return json.loads(text, parse_float=Number) if exact else json.loads(text)
+
+
+def inexact(value: Any) -> bool:
+    """Whether a value that was read without its numbers' text may hold a number that text would show otherwise."""
+    return isinstance(value, (float, list, dict)) and not isinstance(value, Number)
 
 
 def compact(value: Any) -> str:

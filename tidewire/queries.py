@@ -103,7 +103,7 @@ def engine(spark: SparkSession, sf_dir: str, fmt: str = "json", mode: str = "str
     """The engine over that API."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     m = api(sf_dir)
-    key = (id(spark), sf_dir, fmt, mode, page)
+    key = (spark.sparkContext.applicationId, sf_dir, fmt, mode, page)
     if key not in _ENGINES:
         state = tempfile.mkdtemp(prefix="tidewire-state-")
         window = -(-len(m.resources["lineitem"].rows) // 8)
@@ -175,14 +175,14 @@ def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = {"openapi": "3.0.0", "paths": {"/messy": {"get": {"responses": {"200": {"content": {"application/json": {"schema": {"type": "array", "items": {"type": "object", "properties": props}}}}}}}}}}
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = configs.of({"openapi": "mock", "base-url": m.url, "tables": {"messy": {"endpoint": "/messy"}}})
-    return _times(Engine(spark, f"messy_{abs(hash((id(spark), sf_dir))) % 10**8}", source, spec).table("messy"))
+    return _times(Engine(spark, f"messy_{abs(hash((spark.sparkContext.applicationId, sf_dir))) % 10**8}", source, spec).table("messy"))
 
 
 def _one_table(spark: SparkSession, name: str, text: str, schema: dict, base_url: str) -> Engine:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = configs.of(hocon.parse("openapi = mock\n" + text, "queries", {"BASE": base_url}))
     spec = {"openapi": "3.0.0", "paths": {t.endpoint: {"get": {"responses": {"200": {"content": {"application/json": {"schema": schema}}}}}} for t in source.tables.values()}}
-    return Engine(spark, f"{name}_{abs(hash((id(spark), base_url))) % 10**8}", source, spec).register()
+    return Engine(spark, f"{name}_{abs(hash((spark.sparkContext.applicationId, base_url))) % 10**8}", source, spec).register()
 
 
 _NATION = {"type": "array", "items": {"type": "object", "properties": {"n_nationkey": {"type": "integer", "format": "int32"}, "n_name": {"type": "string"}}}}

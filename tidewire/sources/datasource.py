@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType, VariantVal
 
 from ..errors import ConfigError, EngineError
 from ..functions import pointers
-from ..functions.convert import TYPES, Counts, column, compact, instant
+from ..functions.convert import TYPES, Counts, column, compact, inexact, instant
 from ..operators.joins import child_records, parent_keys
 from ..streaming.checkpoints import Store
 from ..streaming.times import TimeFormat, bound, iso
@@ -226,12 +226,16 @@ class RestReader(DataSourceReader):
                 start = saved
         counts = Counts()
         size, state, latest = self.source.schema.batch_size, None, None
+        client.exact = self.spec.variant or self.spec.kind == "child"
         for page in ahead(self._pages(client, part, start, params), self.source.schema.prefetch):
             state = page.state or state
             if store and c.mode == "timestamp":
                 latest = _latest(page.records, c.timestamp_path, latest)
-            for i in range(0, len(page.records), size):
-                yield from self.emit(page.records[i : i + size], counts)
+            records = page.records
+            if page.again is not None and self._raw(records):
+                records = page.again()
+            for i in range(0, len(records), size):
+                yield from self.emit(records[i : i + size], counts)
         if store and self.incremental:
             value = latest[1] if c.mode == "timestamp" and latest else None if c.mode == "timestamp" else state
             if value is not None:
@@ -243,6 +247,11 @@ class RestReader(DataSourceReader):
             with open(os.path.join(self.metrics, f"{os.getpid()}-{random.getrandbits(48):012x}.json"), "w", encoding="utf-8") as f:
                 json.dump({"table": self.spec.name, "converted": counts.converted, "nulled": counts.nulled}, f)
 
+    def _raw(self, records: list) -> bool:
+        """Whether a text column would show numbers, whose source text is needed then."""
+        texts = [c for c in self.spec.columns if c.type == "string" and (self.needed is None or c.name in self.needed)]
+        return any(inexact(pointers.get(r, list(c.path)) if len(c.path) > 1 else r.get(c.path[0]) if isinstance(r, dict) else None) for c in texts for r in records)
+
     def emit(self, records: list, counts: Counts | None) -> Iterator[Any]:
         if self.spec.variant:
             for r in records:

@@ -7,7 +7,7 @@ import queue
 import re
 import threading
 import urllib.parse
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -15,20 +15,21 @@ from ..errors import EngineError
 from ..functions import pointers
 from ..functions.convert import loads
 from .config import Pagination
-from .http import Client, origin
+from .http import Client, Response, origin
 
 
 @dataclass
 class Page:
-    """The records of a page, and the position to resume from after it."""
+    """The records of a page, and the position to resume from after it. again: reads them once more, exactly."""
 
     records: list
     state: str | None = None
+    again: Callable[[], list] | None = None
 
 
-def _json(body: bytes, url: str) -> Any:
+def _json(body: bytes, url: str, exact: bool = True) -> Any:
     try:
-        return loads(body)
+        return loads(body, exact)
     except ValueError as error:
         raise EngineError(f"GET {url.partition('?')[0]}: the response isn't JSON: {error}") from None
 
@@ -42,6 +43,12 @@ def next_link(header: str | None, url: str) -> str | None:
     return None
 
 
+def _page(client: Client, got: Response, body: Any, data_path: str | None, state: str | None = None) -> Page:
+    records = pointers.records(body, data_path)
+    n = len(records)
+    return Page(records, state, None if client.exact else lambda: pointers.records(_json(got.body, got.url), data_path)[:n])
+
+
 def _whole(text: str | None) -> int:
     return int(text) if text is not None and re.fullmatch(r"\d+", str(text)) else 0
 
@@ -50,20 +57,20 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
     """Pages of an endpoint. start: a saved position. window: the offsets to read, the end excluded."""
     size_param = {paging.page_size_param: str(min(paging.max_page_size, limit) if limit else paging.max_page_size)} if paging.page_size_param else {}
     if paging.style == "none":
-        body = client.get(client.url(path, params))
-        yield Page(pointers.records(_json(body.body, body.url), data_path))
+        got = client.get(client.url(path, params))
+        yield _page(client, got, _json(got.body, got.url, client.exact), data_path)
         return
     if paging.style == "cursor":
         cursor, held = start or None, 0
         for _ in range(paging.max_pages):
             got = client.get(client.url(path, params | size_param | ({paging.cursor_param: cursor} if cursor else {})))
-            body = _json(got.body, got.url)
+            body = _json(got.body, got.url, client.exact)
             found = pointers.get(body, paging.cursor_path)
             after = found if isinstance(found, str) and found else None
-            records = pointers.records(body, data_path)
-            held += len(records)
             # the last page has no next cursor: the one that fetched it is saved, so that later records aren't missed
-            yield Page(records, after or cursor)
+            page = _page(client, got, body, data_path, after or cursor)
+            held += len(page.records)
+            yield page
             if after is None or limit and held >= limit:
                 return
             cursor = after
@@ -73,9 +80,9 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
         home = origin(url)
         for _ in range(paging.max_pages):
             got = client.get(url)
-            records = pointers.records(_json(got.body, got.url), data_path)
-            held += len(records)
-            yield Page(records)
+            page = _page(client, got, _json(got.body, got.url, client.exact), data_path)
+            held += len(page.records)
+            yield page
             after = next_link(got.headers.get("link"), url)
             if after is None or limit and held >= limit:
                 return
@@ -98,7 +105,7 @@ def _offset(client: Client, path: str, params: dict[str, str], paging: Paginatio
         ask = paging.max_page_size if left is None else min(left, paging.max_page_size)
         mine = {paging.offset_param: str(at)} | ({paging.page_size_param: str(ask)} if paging.page_size_param else {})
         got = client.get(client.url(path, params | mine))
-        body = _json(got.body, got.url)
+        body = _json(got.body, got.url, client.exact)
         found = body if results is None else pointers.get(body, results)
         if isinstance(found, list):
             if not found:
@@ -114,7 +121,7 @@ def _offset(client: Client, path: str, params: dict[str, str], paging: Paginatio
         at += held
         if left is not None:
             left -= held
-        yield Page(pointers.records(body, data_path), str(at))
+        yield _page(client, got, body, data_path, str(at))
 
 
 def lines(client: Client, path: str, params: dict[str, str], limit: int | None = None) -> Iterator[Any]:
