@@ -128,10 +128,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least
     possible = possible.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "n", "phrase", "phrase_id")).alias("places"))
     possible = stage(possible, "places")
     texts = docs.select(F.col("doc_id").alias("d"), row_hash(F.col("text")).alias("k"), "text")
-    if (n := possible.count()) <= MAX_DOCS:
+    if possible.count() <= MAX_DOCS:
         keys = possible.select("doc_id", "h")
         texts = texts.join(F.broadcast(keys), texts["d"].eqNullSafe(keys["doc_id"]) & (texts["k"] == keys["h"]), "left_semi")
-    del n
     texts = texts.select("d", "k", words_of(F.col("text")).alias("w"))
     checked = possible.join(texts, possible["doc_id"].eqNullSafe(texts["d"]) & (possible["h"] == texts["k"]))
     checked = checked.select("doc_id", "h", F.filter("places", lambda x: F.array_join(F.slice("w", x["start"], x["n"]), " ") == x["phrase"]).alias("places")).filter(F.size("places") > 0)

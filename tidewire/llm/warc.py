@@ -198,14 +198,11 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def merge_index(captures: DataFrame, rows: int = RANGE) -> DataFrame:
     """The captures with their ``position`` in the order (url_key, captured, record) over all archives, from 0."""
-    spark = captures.sparkSession
-    facts = captures.agg(F.count("*"), F.countDistinct("archive")).first()
-    n, n_runs = facts[0], max(1, facts[1])
+    n = captures.count()
     ranges = max(1, -(-n // rows))
     step = max(1, n // max(KEYS, 8 * ranges))
     sample = captures.filter(F.col("nth") % step == 0).select("url_key", "captured", "record").orderBy("url_key", "captured", "record").collect() if ranges > 1 else []
     cuts = sorted({tuple(sample[len(sample) * i // ranges]) for i in range(1, ranges)}) if sample else []
-    del n_runs
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
