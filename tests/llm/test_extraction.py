@@ -15,6 +15,10 @@ WORDS = "Many plain words stand in this sentence, which tells something. Another
         (f"<article><h1>Cut</h1><p><b>{WORDS}<br><p>{WORDS}<p>{WORDS}", "\n".join(["Cut"] + [WORDS.strip()] * 3)),
         (f"<article><p>{WORDS}</p><p>{WORDS}</p><!-- <p>hidden --><style>p{{}}</style><p>in<b>li</b>ne <i>words</i> stay together, as they should.</p></article><div class='comments'><div class='comment'><p>First! I like it.</p></div></div>", f"{WORDS.strip()}\n{WORDS.strip()}\ninline words stay together, as they should."),
         (f"<div class=cookie-notice><p>We use cookies.</p></div><main><p>{WORDS}</p><p>{WORDS}</p></main><aside class=sidebar><ul><li><a href=x>More</a></li></ul></aside><form><p>Your mail</p><input></form>", f"{WORDS.strip()}\n{WORDS.strip()}"),
+        (f"<header><a href=/>Site</a><p>A tagline.</p></header><main><article><h1>T</h1><p>{WORDS}</p><section class='comments'><h3>Comments</h3><div class='comment'><p>I really like this. Thank you!</p></div></section></article></main>", f"T\n{WORDS.strip()}"),
+        (f"<div id='content'><h1>T</h1><div>{WORDS}</div><div>{WORDS}</div><form><label>Name</label><input><p>Please leave your mail here.</p></form></div><div class='sidebar'><h3>About</h3><p>{WORDS}</p></div>", f"T\n{WORDS.strip()}\n{WORDS.strip()}"),
+        (f"<article><h1>T</h1><p>{WORDS}</p><div class='notice'>Important: see our policy.</div><ul><li>One point here.</li><li>Another.</li></ul></article>", f"T\n{WORDS.strip()}\nOne point here.\nAnother."),
+        ("<nav><a href=x>A</a></nav><article><h1>Spam</h1><p>Spam Spam Spam Spam<br><p>Spam Spam<p>buy buy</article><footer>x</footer>", "Spam\nSpam Spam Spam Spam\nSpam Spam\nbuy buy"),
     ],
 )
 def test_pages(html, want):
@@ -25,8 +29,8 @@ def test_made_pages_apart_from_the_trained_ones():
     wrong = total = 0
     for html, marks in op.labelled_pages(150, seed=77):
         page = op.parse(html)
-        x, parent, kind, _ = op._flatten([page])
-        content = op.default_model().marginals(x, parent, kind) >= 0.5
+        x, parent, pair, _ = op._flatten([page])
+        content = op.default_model().marginals(x, parent, pair) >= 0.5
         assert len(page.runs) == len(marks)
         wrong += sum(bool(content[n]) != m for (n, _), m in zip(page.runs, marks))
         total += len(marks)
@@ -39,15 +43,15 @@ def test_messages_give_the_exact_marginals():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    parent, kind = np.array([-1, 0, 0, 1, 1, 4, -1, 6]), rng.integers(0, len(op.KINDS), 8)
+    parent, pair = np.array([-1, 0, 0, 1, 1, 4, -1, 6]), rng.integers(0, op.PAIRS, 8)
     x = rng.normal(size=(8, len(op.FEATURES)))
-    model = op.Model(rng.normal(size=len(op.FEATURES)), rng.normal(size=(len(op.KINDS), 2, 2)))
+    model = op.Model(rng.normal(size=len(op.FEATURES)), rng.normal(size=(op.PAIRS, 2, 2)))
     weights = np.zeros((8, 2))
     for y in itertools.product((0, 1), repeat=8):
-        score = sum(x[i] @ model.weights * y[i] for i in range(8)) + sum(model.pair[kind[i], y[parent[i]], y[i]] for i in range(8) if parent[i] >= 0)
+        score = sum(x[i] @ model.weights * y[i] for i in range(8)) + sum(model.pair[pair[i], y[parent[i]], y[i]] for i in range(8) if parent[i] >= 0)
         for i in range(8):
             weights[i, y[i]] += np.exp(score)
-    assert np.allclose(model.marginals(x, parent, kind), weights[:, 1] / weights.sum(axis=1))
+    assert np.allclose(model.marginals(x, parent, pair), weights[:, 1] / weights.sum(axis=1))
 
 
 def test_deep_and_long_pages():

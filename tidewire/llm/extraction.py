@@ -55,15 +55,20 @@ _GOOD = re.compile(r"\b(?:article|content|post|entry|story|main|body|text|articl
 _STOP = re.compile(r"[.!?;:,](?:\s|$)")
 _LEGAL = re.compile(r"©|\bcopyright\b|all rights reserved|cookie|privacy|subscribe|sign in|log in|advertis|sponsored", re.I)
 
+#: A pair's kind: the child's kind, with a parent that is an article, one that looks like boilerplate, or another.
+PAIRS = 3 * len(KINDS)
+_SIDE = frozenset(KINDS.index(k) for k in ("nav", "header", "footer", "aside", "form"))
+
 FEATURES = ["bias", *KINDS, "bad_name", "good_name", "has_text", "log_chars", "link_share", "stops", "legal", "short"]
 
 
 @dataclass
 class Page:
-    """Block-level elements of a page in order: parent, kind, features; and the text runs with their elements."""
+    """Block-level elements of a page in order: parent, pair (which potential joins it to its parent), features; and the
+    text runs with their elements."""
 
     parent: list[int]
-    kind: list[int]
+    pair: list[int]
     rows: list[list[float]]
     runs: list[tuple[int, str]]
 
@@ -167,32 +172,34 @@ def parse(page: str) -> Page:
             n = len(text)
             row[base + 2 :] = [1.0, np.log1p(n) / 8, min(1.0, linked.get(i, 0) / n), min(1.0, 20 * len(_STOP.findall(text)) / n), float(n < 400 and bool(_LEGAL.search(text))), float(n < 40)]
         rows.append(row)
-    return Page(parent, kind, rows, runs)
+    group = [2 if names[i][0] or k in _SIDE else 1 if k == KINDS.index("article") else 0 for i, k in enumerate(kind)]
+    pair = [k + len(KINDS) * (group[p] if p >= 0 else 0) for k, p in zip(kind, parent)]
+    return Page(parent, pair, rows, runs)
 
 
 @dataclass
 class Model:
-    """Node weights, and log potentials [kind of the child, parent's label, child's label]."""
+    """Node weights, and log potentials [kind of the pair, parent's label, child's label]."""
 
     weights: np.ndarray
     pair: np.ndarray
 
-    def marginals(self, x: np.ndarray, parent: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    def marginals(self, x: np.ndarray, parent: np.ndarray, pair: np.ndarray) -> np.ndarray:
         """Of each node of a forest (parents stand before their children) the probability to be content."""
-        return self.beliefs(x, parent, kind, _levels(parent))[0]
+        return self.beliefs(x, parent, pair, _levels(parent))[0]
 
-    def beliefs(self, x: np.ndarray, parent: np.ndarray, kind: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def beliefs(self, x: np.ndarray, parent: np.ndarray, pair: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The marginals, and those of each node's parent and itself together (zeros for roots)."""
         n = len(parent)
         belief = np.stack([np.zeros(n), x @ self.weights], axis=1)
         up = np.zeros((n, 2))  # message of a node to its parent
         for at in levels[:0:-1]:
-            m = self.pair[kind[at]] + belief[at][:, None, :]
+            m = self.pair[pair[at]] + belief[at][:, None, :]
             up[at] = np.logaddexp(m[:, :, 0], m[:, :, 1])
             np.add.at(belief, parent[at], up[at])
         both = np.zeros((n, 2, 2))
         for at in levels[1:]:
-            m = self.pair[kind[at]] + (belief[parent[at]] - up[at])[:, :, None]
+            m = self.pair[pair[at]] + (belief[parent[at]] - up[at])[:, :, None]
             both[at] = m + belief[at][:, None, :]
             belief[at] += np.logaddexp(m[:, 0, :], m[:, 1, :])
             belief[at] -= belief[at].max(axis=1, keepdims=True)
@@ -215,25 +222,25 @@ def _levels(parent: np.ndarray) -> list[np.ndarray]:
 def _flatten(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     starts = np.concatenate([[0], np.cumsum([len(p.parent) for p in pages])]).astype(np.int64)
     parent = np.array([q + s if q >= 0 else -1 for p, s in zip(pages, starts) for q in p.parent], np.int64)
-    kind = np.array([k for p in pages for k in p.kind], np.int64)
-    x = np.array([r for p in pages for r in p.rows], np.float64).reshape(len(kind), len(FEATURES))
-    return x, parent, kind, starts
+    pair = np.array([k for p in pages for k in p.pair], np.int64)
+    x = np.array([r for p in pages for r in p.rows], np.float64).reshape(len(pair), len(FEATURES))
+    return x, parent, pair, starts
 
 
-def train(pages: list[Page], labels: list[list[int]], l2: float = 1e-3, steps: int = 250, rate: float = 0.1) -> Model:
+def train(pages: list[Page], labels: list[list[int]], l2: float = 1e-3, steps: int = 300, rate: float = 0.05) -> Model:
     """Potentials from pages whose elements have labels."""
-    x, parent, kind, _ = _flatten(pages)
+    x, parent, pair, _ = _flatten(pages)
     y = np.array([v for row in labels for v in row], np.float64)
     levels = _levels(parent)
     child = np.flatnonzero(parent >= 0)
-    model = Model(np.zeros(x.shape[1]), np.zeros((len(KINDS), 2, 2)))
+    model = Model(np.zeros(x.shape[1]), np.zeros((PAIRS, 2, 2)))
     counted = np.zeros_like(model.pair)
-    np.add.at(counted, (kind[child], y[parent[child]].astype(int), y[child].astype(int)), 1)
+    np.add.at(counted, (pair[child], y[parent[child]].astype(int), y[child].astype(int)), 1)
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in (model.weights, model.pair)]
     for t in range(1, steps + 1):
-        p, both = model.beliefs(x, parent, kind, levels)
+        p, both = model.beliefs(x, parent, pair, levels)
         expected = np.zeros_like(model.pair)
-        np.add.at(expected, kind[child], both[child])
+        np.add.at(expected, pair[child], both[child])
         gradients = x.T @ (y - p) / len(pages) - l2 * model.weights, (counted - expected) / len(pages) - l2 * model.pair
         for value, g, (m, v) in zip((model.weights, model.pair), gradients, moments):  # Adam
             m += 0.1 * (g - m)
@@ -242,7 +249,7 @@ def train(pages: list[Page], labels: list[list[int]], l2: float = 1e-3, steps: i
     return model
 
 
-def labelled_pages(n: int = 400, seed: int = 5) -> Iterator[tuple[str, list[bool]]]:
+def labelled_pages(n: int = 600, seed: int = 5) -> Iterator[tuple[str, list[bool]]]:
     """Made pages and, for each of their text runs in order, whether it is content."""
     rng = random.Random(seed)
     sounds = ["ba", "ko", "ri", "tes", "mun", "al", "ve", "do", "sin", "pra", "lo", "chi", "ter", "an"]
@@ -256,7 +263,7 @@ def labelled_pages(n: int = 400, seed: int = 5) -> Iterator[tuple[str, list[bool
 
     def prose(style: str = "") -> str:
         if style == "repeated":
-            return " ".join([some(1, 1)] * rng.randint(5, 60))
+            return " ".join(w for _ in range(rng.randint(1, 4)) for w in [some(1, 1)] * rng.randint(5, 40))
         if style == "scraps":
             return some(1, 4)
         if style == "unmarked":
@@ -274,10 +281,14 @@ def labelled_pages(n: int = 400, seed: int = 5) -> Iterator[tuple[str, list[bool
             return html
 
         k = rng.randint(2, 8)
-        style = rng.choice(["", "", "", "", "", "repeated", "unmarked", "scraps"])  # articles needn't be good prose
+        style = rng.choice(["", "", "", "", "repeated", "repeated", "unmarked", "scraps"])  # articles needn't be good prose
         body = []
         if rng.random() < 0.3:
             body.append(put(f'<header class="site-header"><h2>{some(1, 3)}</h2></header>', 1, False))
+        if rng.random() < 0.2:
+            body.append(put(rng.choice(["<header><h1>{}</h1><p>{}</p></header>", '<div id="header"><h1>{}</h1><p>{}</p></div>', '<div class="banner"><div>{}</div><p>{}</p></div>']).format(some(1, 3), sentence()), 2, False))
+        if rng.random() < 0.15:
+            body.append(put(f'<ol class="breadcrumb">{links(3)}</ol>', 3, False))
         if rng.random() < 0.8:
             body.append(put(rng.choice(["<nav><ul>{}</ul></nav>", '<div class="menu"><ul>{}</ul></div>', '<ul id="nav">{}</ul>']).format(links(k)), k, False))
         if rng.random() < 0.3:
@@ -302,12 +313,21 @@ def labelled_pages(n: int = 400, seed: int = 5) -> Iterator[tuple[str, list[bool
                 body.append(put(f'<p><a href="/y">{some(2, 4)}</a> {prose()}</p>', 1, True))
             elif r < 0.93:
                 body.append(put(f'<div class="ad">{sentence()}</div>', 1, False))
+            elif r < 0.94:
+                body.append(put(rng.choice(['<div class="notice"><p>{}</p></div>', "<form><p>{}</p><input></form>", '<div class="newsletter">{}</div>', "<aside>{}</aside>"]).format(prose()), 1, False))
             elif r < 0.95:
+                body.append(put(f"<div>{prose(style)}</div>", 1, True))
+            elif r < 0.96:
                 body.append(put(f'<aside class="related"><p>{prose()}</p></aside>', 1, False))
             elif r < 0.97:
                 body.append(put(f"<p>{some(1, 2)}.</p>", 1, True))
             else:
                 body.append(put(f"<table><tr><td>{some(1, 3)}</td><td>{some(1, 3)}</td></tr></table>", 2, True))
+        if rng.random() < 0.15:
+            body.append(put(f"<footer><p>{sentence()}</p></footer>", 1, False))
+        if rng.random() < 0.15:
+            m = rng.randint(1, 4)
+            body.append(put(f'<section class="comments"><h3>{some(1, 2)}</h3>' + "".join(f'<article class="comment"><p>{prose()}</p></article>' for _ in range(m)) + "</section>", m + 1, False))
         if rng.random() < 0.25:
             body.append(put(f'<div class="share">{links(3, "span")}</div>', 1, False))
         body.append(close)
@@ -318,6 +338,8 @@ def labelled_pages(n: int = 400, seed: int = 5) -> Iterator[tuple[str, list[bool
             body.append(put(rng.choice(["<aside><ul>{}</ul></aside>", '<div class="sidebar"><ul>{}</ul></div>']).format(links(k)), k, False))
         if rng.random() < 0.2:
             body.append(put(f"<aside><p>{prose()}</p></aside>", 1, False))
+        if rng.random() < 0.25:
+            body.append(put(rng.choice(['<div class="sidebar"><h3>{}</h3><p>{}</p></div>', '<aside id="side"><h3>{}</h3><p>{}</p></aside>', '<div role="complementary"><h4>{}</h4><div>{}</div></div>', '<div class="widget"><h3>{}</h3><p>{}</p></div>']).format(some(1, 3), prose()), 2, False))
         if rng.random() < 0.3:
             body.append(put(f"<form><p>{sentence()}</p><label>{some(1, 2)}</label><input></form>", 2, False))
         if rng.random() < 0.8:
@@ -353,8 +375,8 @@ def extract(htmls: list[str | None], model: Model) -> list[str]:
     out: list[str] = []
     for lo in range(0, len(htmls), 500):
         pages = [parse(h or "") for h in htmls[lo : lo + 500]]
-        x, parent, kind, starts = _flatten(pages)
-        content = model.marginals(x, parent, kind) >= 0.5
+        x, parent, pair, starts = _flatten(pages)
+        content = model.marginals(x, parent, pair) >= 0.5
         out += ["\n".join(text for node, text in p.runs if content[s + node]) for p, s in zip(pages, starts)]
     return out
 
