@@ -83,7 +83,8 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package wherever the driver found it."""
+    """Lets Python workers import this package wherever the driver found it, and keeps the batches they get small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "6m")
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if here not in env.get("PYTHONPATH", "").split(os.pathsep):

@@ -43,7 +43,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x >> U64(11)).astype(np.float64) * 2.0**-53
 
 
-def signatures(elements: np.ndarray, bounds: np.ndarray, k: int, weights: np.ndarray | None = None, piece: int = 1 << 19) -> np.ndarray:
+def signatures(elements: np.ndarray, bounds: np.ndarray, k: int, weights: np.ndarray | None = None, piece: int = 1 << 17) -> np.ndarray:
     """Signatures (documents x k, uint64) of the sets elements[bounds[i]:bounds[i+1]].
 
     ``weights`` are over 0, one for each element, and equal elements of a document must have equal weights; none

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, importable, read_table, stage
-from .textkernel import TOKEN_BYTES, U64, batches_by_bytes, mix, mix_int, words
+from .textkernel import TOKEN_BYTES, U64, batches_by_bytes, mix, mix_int, release, words
 
 FOLDS = 10
 ALPHA = 0.1
@@ -38,7 +38,9 @@ DISCOUNT = 0.75
 BASE = 1.5
 BITS, PROBES = 10, 5
 #: Bytes of text in a chunk, pairs of a range, and bytes of a broadcast shard of the filter.
-CHUNK, RANGE, FILTER_BYTES = 6 << 20, 1 << 20, 128 << 20
+CHUNK, RANGE, FILTER_BYTES = 8 << 20, 1 << 20, 40 << 20
+#: Tokens that are looked up at once.
+PIECE = 1 << 17
 END = U64(mix_int(0x656E64))
 _PAIR, _FOLLOWERS = U64(0x9DDFEA08EB382D69), U64(0x5851F42D4C957F2D)
 
@@ -149,6 +151,7 @@ def _pairs(bits: int):
                         rows.append((p, u[a:b][head].tobytes(), _pack(runs), pair[a:b].tobytes(), _pack(count[a:b])))
                 names = ("part", "contexts", "runs", "pairs", "counts")
                 yield pa.RecordBatch.from_pydict({n: pa.array(v, t) for n, v, t in zip(names, list(zip(*rows)) or [()] * 5, (pa.int32(), *[pa.binary()] * 4))})
+        release()
 
     return run
 
@@ -245,31 +248,32 @@ def _score(kind: pa.DataType, n: int, v: int, filters):
         keys, code = np.frombuffer(get("keys"), U64), _unpack(get("codes"), np.uint32)
         size, held = np.array(get("size"), np.int64), np.array(get("held"), bool)
         docs = np.repeat(np.arange(len(size)), size)
-        unigram = (count + ALPHA) / (n + ALPHA * (v + 1))
+        logs = np.log10((count + ALPHA) / (n + ALPHA * (v + 1)))
         shard = filters.value
-        tokens = keys[code]
-        before = _context(tokens, np.concatenate([[0], np.cumsum(size)]))
         first = np.concatenate([[0], np.cumsum(size)])[:-1]
-        place = np.empty(len(code), np.int64)  # of the context among the keys
+        place = np.empty(len(code), np.uint32)  # of each token's context among the keys
         place[1:] = code[:-1]
         place[first] = np.searchsorted(keys, END)
-        mine = np.flatnonzero(shard.has(before)) if shard.first or shard.end < 1 << shard.bits else np.arange(len(tokens))
-        followers = np.zeros(len(keys))
         here = np.flatnonzero(shard.has(keys))
+        followers = np.zeros(len(keys))
         followers[here] = shard.count(keys[here], mix(keys[here] ^ _FOLLOWERS))
-        u = before[mine]
-        c = shard.count(u, _pair(u, tokens[mine]))
-        context = count[place[mine]].astype(float)
-        p = unigram[code[mine]]
-        seen = context > 0
-        some = np.maximum(context, 1)
-        rest = np.minimum(1.0, DISCOUNT * followers[place[mine]] / some)
-        smooth = np.maximum(np.minimum(c, context) - DISCOUNT, 0) / some + np.where(followers[place[mine]] > 0, rest, 1.0) * p
-        logs = np.log10(np.minimum(np.where(seen, smooth, p), 1.0))
+        mine = np.zeros(len(keys), bool)
+        mine[here] = True
+        score = np.zeros(len(size))
+        for at in range(0, len(code), PIECE):
+            u = place[at : at + PIECE]
+            some = mine[u]
+            u, w, doc = u[some], code[at : at + PIECE][some], docs[at : at + PIECE][some]
+            p, seen, f = 10.0 ** logs[w], count[u].astype(float), followers[u]
+            c = np.minimum(shard.count(keys[u], _pair(keys[u], keys[w])), seen)
+            total = np.maximum(seen, 1)
+            rest = np.where(f > 0, np.minimum(1.0, DISCOUNT * f / total), 1.0)
+            smooth = np.maximum(c - DISCOUNT, 0) / total + rest * p
+            score += np.bincount(doc, np.log10(np.minimum(np.where(seen > 0, smooth, p), 1.0)), minlength=len(size))
         m = len(size)
         with_base = shard.first == 0
         out = {"block": pa.array([get("block")] * m, pa.int64()), "nth": pa.array(range(m), pa.int64()), "doc_id": chunk["docs"].combine_chunks().flatten().cast(kind), "held_out": pa.array(held), "n_tokens": pa.array(size), "n_known": pa.array(np.bincount(docs, count[code] > 0, minlength=m).astype(np.int64) * with_base)}
-        out |= {"base_score": pa.array(np.bincount(docs, np.log10(unigram)[code], minlength=m) * with_base), "score": pa.array(np.bincount(docs[mine], logs, minlength=m).astype(float))}
+        out |= {"base_score": pa.array(np.bincount(docs, logs[code], minlength=m) * with_base), "score": pa.array(score)}
         return pa.table(out)
 
     def safe(chunk: pa.Table, totals: pa.Table) -> pa.Table:
@@ -320,7 +324,8 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
         del got
         value = spark.sparkContext.broadcast(shard)
         part = stage(chunks.drop("counts").groupBy("block").cogroup(by_block).applyInArrow(_score(kind, n, v, value), fields), "scores")
-        value.unpersist()
+        value.destroy()
+        del shard
         out = part if out is None else out.unionByName(part)
     if len(shards) > 1:
         out = out.groupBy("block", "nth").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), F.first("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))

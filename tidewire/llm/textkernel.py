@@ -7,6 +7,7 @@ once. No Python object is made for a word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -84,7 +85,7 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(column, kind: np.ndarray = WORD_BYTES, chunk_bytes: int = 4 << 20) -> Iterator[Words]:
+def words(column, kind: np.ndarray = WORD_BYTES, chunk_bytes: int = 1 << 20) -> Iterator[Words]:
     """Words of every row, in chunks of whole rows of about chunk_bytes; a longer row is a chunk of its own."""
     raw, offsets = flat(column)
     lo, n = 0, len(offsets) - 1
@@ -154,7 +155,16 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndar
     return mix(out), out_bounds
 
 
-def batches_by_bytes(batches, text: str, most: int = 32 << 20):
+def release() -> None:
+    """Gives freed memory back to the system: workers are used again, and an executor's share is small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
+def batches_by_bytes(batches, text: str, most: int = 8 << 20):
     """Splits record batches so that none holds more than about ``most`` bytes of one string column."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
@@ -167,3 +177,4 @@ def batches_by_bytes(batches, text: str, most: int = 32 << 20):
             hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
             yield batch.slice(lo, hi - lo)
             lo = hi
+    release()
