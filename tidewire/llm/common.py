@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -53,6 +54,19 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
 _PATHS: dict[str, SparkSession] = {}
 
 
+def unstage(df: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more, and lets Spark drop the shuffles that led to it."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    path = next((p for p in _PATHS if files and p.split("://")[-1].split(":")[-1] in files[0]), None)
+    if path is not None:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        del _PATHS[path]
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Deletes every staged table of this process. Results that still read them can't be evaluated afterwards."""
     jvm = spark.sparkContext._jvm

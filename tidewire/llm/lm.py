@@ -7,10 +7,11 @@
 3. Pairs of tokens go, in ranges of the hash of their first token, to tasks that count them and build a Bloom filter
    for the range: a count c is held as the entries (pair, 1) to (pair, 1 + floor(log c / log BASE)), and likewise the
    number of distinct followers of a token. A filter's size follows its number of entries.
-4. Filters are broadcast in shards of at most ``FILTER_BYTES``; a pass over the staged chunks for each shard adds up
-   the tokens whose context is in that shard, so memory stays bounded whatever the corpus. A count is read back by
-   probing level after level until one is missing. The probability interpolates the pair with the unigram by absolute
-   discounting: max(c(u,w) - D, 0) / c(u) + D T(u) / c(u) * p(w), with p(w) the add-0.1 unigram.
+4. Filters are broadcast in shards of at most ``FILTER_BYTES``. For each shard a pass over the chunks, by now staged
+   with their tokens' counts, adds up the tokens whose context is in it: memory stays bounded whatever the corpus, and
+   a pass shuffles nothing. A count is read back by probing level after level until one is missing. The probability
+   interpolates the pair with the unigram by absolute discounting: max(c(u,w) - D, 0) / c(u) + D T(u) / c(u) * p(w),
+   with p(w) the add-0.1 unigram.
 
 Nulls and edge cases: a null or empty text has one token, the end; a null id counts as fold 0 (held out); repeated
 rows are scored each; with no training rows N and V are 0 and every score is 0; other columns are ignored; texts of
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, importable, read_table, stage
+from .common import fold, importable, read_table, stage, unstage
 from .textkernel import TOKEN_BYTES, U64, batches_by_bytes, mix, mix_int, release, words
 
 FOLDS = 10
@@ -38,7 +39,9 @@ DISCOUNT = 0.75
 BASE = 1.5
 BITS, PROBES = 10, 5
 #: Bytes of text in a chunk, pairs of a range, and bytes of a broadcast shard of the filter.
-CHUNK, RANGE, FILTER_BYTES = 8 << 20, 1 << 20, 40 << 20
+CHUNK, RANGE, FILTER_BYTES = 8 << 20, 1 << 20, 52 << 20
+#: Bits of a pair within its range: at a million pairs a range, fewer than one of them is taken for another.
+NARROW = U64((1 << 40) - 1)
 #: Tokens that are looked up at once.
 PIECE = 1 << 17
 END = U64(mix_int(0x656E64))
@@ -53,6 +56,16 @@ def _unpack(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
+def _pack40(x: np.ndarray) -> bytes:
+    """40-bit numbers in five bytes each."""
+    return (x & U64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (x >> U64(32)).astype(np.uint8).tobytes()
+
+
+def _unpack40(x: bytes) -> np.ndarray:
+    n = len(x) // 5
+    return np.frombuffer(x, np.uint32, n).astype(U64) | (np.frombuffer(x, np.uint8, n, 4 * n).astype(U64) << U64(32))
+
+
 def _tokenise(kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -148,7 +161,7 @@ def _pairs(bits: int):
                     if b > a:
                         head = np.flatnonzero(np.concatenate([[True], u[a + 1 : b] != u[a : b - 1]]))
                         runs = np.diff(np.concatenate([head, [b - a]])).astype(np.uint32)
-                        rows.append((p, u[a:b][head].tobytes(), _pack(runs), pair[a:b].tobytes(), _pack(count[a:b])))
+                        rows.append((p, _pack40(u[a:b][head] & NARROW), _pack(runs), _pack40(pair[a:b] & NARROW), _pack(count[a:b])))
                 names = ("part", "contexts", "runs", "pairs", "counts")
                 yield pa.RecordBatch.from_pydict({n: pa.array(v, t) for n, v, t in zip(names, list(zip(*rows)) or [()] * 5, (pa.int32(), *[pa.binary()] * 4))})
         release()
@@ -195,8 +208,8 @@ def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _filter(table: pa.Table) -> pa.Table:
     """The filter of a range of contexts."""
-    u = np.concatenate([np.repeat(np.frombuffer(c, U64), _unpack(r, np.uint32)) for c, r in zip(table["contexts"].to_pylist(), table["runs"].to_pylist())])
-    pair = np.concatenate([np.frombuffer(x, U64) for x in table["pairs"].to_pylist()])
+    u = np.concatenate([np.repeat(_unpack40(c), _unpack(r, np.uint32)) for c, r in zip(table["contexts"].to_pylist(), table["runs"].to_pylist())])
+    pair = np.concatenate([_unpack40(x) for x in table["pairs"].to_pylist()])
     count = np.concatenate([_unpack(x, np.uint32) for x in table["counts"].to_pylist()])
     order = np.argsort(pair)
     pair = pair[order]
@@ -236,27 +249,28 @@ class Filters:
         return LEVELS[found]
 
 
+def _with_counts(chunk: pa.Table, totals: pa.Table) -> pa.Table:
+    """A chunk with the training counts of its distinct tokens in place of its own counts."""
+    totals = totals.sort_by("part")
+    count = [_pack(np.concatenate([_unpack(x, np.int64) for x in totals["total"].to_pylist()]))] if chunk.num_rows else []
+    return chunk.set_column(chunk.schema.get_field_index("counts"), "counts", pa.array(count, pa.binary()))
+
+
 def _score(kind: pa.DataType, n: int, v: int, filters):
-    """Scores a chunk with a shard of the filter; the base too, if the shard is the first."""
-
-    def run(chunk: pa.Table, totals: pa.Table) -> pa.Table:
-        if not chunk.num_rows:
-            return None
-        get = lambda c: chunk[c][0].as_py()
-        totals = totals.sort_by("part")
-        count = np.concatenate([_unpack(x, np.int64) for x in totals["total"].to_pylist()])
-        keys, code = np.frombuffer(get("keys"), U64), _unpack(get("codes"), np.uint32)
-        size, held = np.array(get("size"), np.int64), np.array(get("held"), bool)
+    """Scores chunks with a shard of the filter; the base too, if the shard is the first."""
+
+    def one(chunk: dict) -> pa.RecordBatch:
+        shard = filters.value
+        count, keys, code = _unpack(chunk["counts"], np.int64), np.frombuffer(chunk["keys"], U64), _unpack(chunk["codes"], np.uint32)
+        size, held = np.array(chunk["size"], np.int64), np.array(chunk["held"], bool)
         docs = np.repeat(np.arange(len(size)), size)
         logs = np.log10((count + ALPHA) / (n + ALPHA * (v + 1)))
-        shard = filters.value
-        first = np.concatenate([[0], np.cumsum(size)])[:-1]
         place = np.empty(len(code), np.uint32)  # of each token's context among the keys
         place[1:] = code[:-1]
-        place[first] = np.searchsorted(keys, END)
+        place[np.concatenate([[0], np.cumsum(size)])[:-1]] = np.searchsorted(keys, END)
         here = np.flatnonzero(shard.has(keys))
         followers = np.zeros(len(keys))
-        followers[here] = shard.count(keys[here], mix(keys[here] ^ _FOLLOWERS))
+        followers[here] = shard.count(keys[here], mix((keys[here] & NARROW) ^ _FOLLOWERS))
         mine = np.zeros(len(keys), bool)
         mine[here] = True
         score = np.zeros(len(size))
@@ -265,25 +279,26 @@ def _score(kind: pa.DataType, n: int, v: int, filters):
             some = mine[u]
             u, w, doc = u[some], code[at : at + PIECE][some], docs[at : at + PIECE][some]
             p, seen, f = 10.0 ** logs[w], count[u].astype(float), followers[u]
-            c = np.minimum(shard.count(keys[u], _pair(keys[u], keys[w])), seen)
+            c = np.minimum(shard.count(keys[u], _pair(keys[u], keys[w]) & NARROW), seen)
             total = np.maximum(seen, 1)
             rest = np.where(f > 0, np.minimum(1.0, DISCOUNT * f / total), 1.0)
             smooth = np.maximum(c - DISCOUNT, 0) / total + rest * p
             score += np.bincount(doc, np.log10(np.minimum(np.where(seen > 0, smooth, p), 1.0)), minlength=len(size))
         m = len(size)
-        with_base = shard.first == 0
-        out = {"block": pa.array([get("block")] * m, pa.int64()), "nth": pa.array(range(m), pa.int64()), "doc_id": chunk["docs"].combine_chunks().flatten().cast(kind), "held_out": pa.array(held), "n_tokens": pa.array(size), "n_known": pa.array(np.bincount(docs, count[code] > 0, minlength=m).astype(np.int64) * with_base)}
-        out |= {"base_score": pa.array(np.bincount(docs, logs[code], minlength=m) * with_base), "score": pa.array(score)}
-        return pa.table(out)
+        out = {"block": pa.array([chunk["block"]] * m, pa.int64()), "nth": pa.array(range(m), pa.int64()), "doc_id": chunk["docs"].cast(kind), "held_out": pa.array(held), "n_tokens": pa.array(size)}
+        if shard.first == 0:
+            out |= {"n_known": pa.array(np.bincount(docs, count[code] > 0, minlength=m).astype(np.int64)), "base_score": pa.array(np.bincount(docs, logs[code], minlength=m).astype(float))}
+        else:
+            out |= {"n_known": pa.array(np.zeros(m, np.int64)), "base_score": pa.array(np.zeros(m))}
+        return pa.RecordBatch.from_pydict(out | {"score": pa.array(score)})
 
-    def safe(chunk: pa.Table, totals: pa.Table) -> pa.Table:
-        got = run(chunk, totals)
-        if got is None:
-            names = [("block", pa.int64()), ("nth", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
-            return pa.table({k: pa.array([], t) for k, t in names})
-        return got
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield one({c: batch.column(c)[i].values if c == "docs" else batch.column(c)[i].as_py() for c in batch.schema.names})
+        release()
 
-    return safe
+    return run
 
 
 def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int = RANGE) -> DataFrame:
@@ -304,7 +319,11 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
     facts = totals.agg(F.sum("n"), F.sum("v")).first()
     n, v = facts[0] or 0, facts[1] or 0
 
-    pairs = chunks.select("held", "size", "keys", "codes").mapInArrow(_pairs(bits), "part int, contexts binary, runs binary, pairs binary, counts binary")
+    shape = f"block bigint, docs array<{id_type}>, held array<boolean>, size array<bigint>, keys binary, counts binary, codes binary"
+    counted = stage(chunks.groupBy("block").cogroup(totals.select("block", "part", "total").groupBy("block")).applyInArrow(_with_counts, shape), "counted")
+    unstage(chunks)
+
+    pairs = counted.select("held", "size", "keys", "codes").mapInArrow(_pairs(bits), "part int, contexts binary, runs binary, pairs binary, counts binary")
     filters = stage(pairs.groupBy("part").applyInArrow(_filter, "part int, n_words bigint, words binary"), "filters")
     sizes = {r["part"]: 8 * r["n_words"] for r in filters.select("part", "n_words").collect()}
     shards, at = [], 0
@@ -316,14 +335,13 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
         shards.append((at, end))
         at = end
     out = None
-    by_block = totals.select("block", "part", "total").groupBy("block")
     fields = f"block bigint, nth bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     for first, end in shards:
         got = filters.filter(F.col("part").between(first, end - 1)).select("part", "words").toArrow()
         shard = Filters(bits, first, dict(zip(got["part"].to_pylist(), got["words"].to_pylist())) | ({end - 1: b""} if end - 1 not in got["part"].to_pylist() else {}))
         del got
         value = spark.sparkContext.broadcast(shard)
-        part = stage(chunks.drop("counts").groupBy("block").cogroup(by_block).applyInArrow(_score(kind, n, v, value), fields), "scores")
+        part = stage(counted.mapInArrow(_score(kind, n, v, value), fields), "scores")
         value.destroy()
         del shard
         out = part if out is None else out.unionByName(part)
