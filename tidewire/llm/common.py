@@ -63,6 +63,11 @@ def unstage(df: DataFrame) -> None:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
         del _PATHS[path]
+    forget_shuffles(spark)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the files of shuffles that no plan refers to any more: it does so when the driver collects garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

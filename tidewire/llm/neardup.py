@@ -40,6 +40,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
 #: Hubs of a bucket of up to SMALL texts, and of a larger one.
 HUBS, FEW_HUBS, SMALL = 7, 1, 64
+#: Shares of a large bucket's members.
+SALTS = 32
 ROUNDS = 2
 #: Above so many texts to compare their ids aren't broadcast.
 MAX_KEYS = 500_000
@@ -86,7 +88,7 @@ def buckets(texts: DataFrame) -> DataFrame:
 def _top(rows: DataFrame, n: int) -> DataFrame:
     """The n most central rows of each bucket, by a partial pass in every task first."""
     best = F.struct((-F.col("central")).alias("c"), "text")
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(64)))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)))
     for keys in (["bucket", "salt"], ["bucket"]):
         rank = F.row_number().over(W.partitionBy(*keys).orderBy(best))
         salted = salted.withColumn("rank", rank).filter(F.col("rank") <= n)
@@ -95,8 +97,12 @@ def _top(rows: DataFrame, n: int) -> DataFrame:
 
 def candidates(members: DataFrame, pool: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of each bucket's hubs (taken from pool) with all its members."""
-    hubs = _top(pool, HUBS).filter(F.when(F.col("size") <= SMALL, F.col("rank") <= HUBS).otherwise(F.col("rank") <= FEW_HUBS)).select("bucket", "hub", F.col("rank").alias("hub_rank"))
-    pairs = members.select("bucket", "text").join(hubs, "bucket").filter("text <> hub")
+    large = F.col("size") > SMALL
+    hubs = _top(pool, HUBS).filter(F.when(large, F.col("rank") <= FEW_HUBS).otherwise(F.col("rank") <= HUBS))
+    # the members of a large bucket are dealt to several tasks, each with the bucket's hubs
+    hubs = hubs.select("bucket", "hub", F.explode(F.when(large, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    salt = F.when(large, F.pmod(F.xxhash64("text"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt")
+    pairs = members.select("bucket", "text", salt).join(hubs, ["bucket", "salt"]).filter("text <> hub")
     return pairs.select(F.least("text", "hub").alias("a"), F.greatest("text", "hub").alias("b")).distinct()
 
 
@@ -205,7 +211,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     heads = stage(found.filter("key IS NOT NULL AND doc_id <=> class_id AND key = class_key").select("doc_id", "key").distinct(), "heads")
     cols = docs.columns
-    tagged = docs.select(F.struct(*[docs[c] for c in cols]).alias("row"), docs["doc_id"].alias("doc"), text_key(docs["text"]).alias("k"))
+    tagged = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), docs["doc_id"].alias("doc"), text_key(docs["text"]).alias("k"))
     kept = tagged.join(heads, tagged["doc"].eqNullSafe(heads["doc_id"]) & tagged["k"].eqNullSafe(heads["key"]))
     nth = F.row_number().over(W.partitionBy(tagged["doc"], tagged["k"]).orderBy(F.lit(0)))
     kept = kept.withColumn("nth", nth).filter("nth = 1").select("row.*")
