@@ -274,7 +274,7 @@ def cursor_events(q, h, b):
 
 def test_cursor_checkpoint(spark, api, tmp_path):
     api.routes["/e"] = cursor_events
-    e = engine(spark, api, {"/e": get(EVENTS)}, 'pagination { style = cursor, cursor-path = "/next" }\ntables { e { endpoint = "/e", data-path = "/items", checkpoint { enabled = true, path = "%s", mode = cursor } } }' % tmp_path)
+    e = engine(spark, api, {"/e": get(EVENTS)}, 'http { max-retries = 0 }\npagination { style = cursor, cursor-path = "/next" }\ntables { e { endpoint = "/e", data-path = "/items", checkpoint { enabled = true, path = "%s", mode = cursor } } }' % tmp_path)
     state = tmp_path / "e.checkpoint.json"
     with pytest.raises(RuntimeError), e.incremental("e") as df:
         df.count()
@@ -292,7 +292,6 @@ def test_cursor_checkpoint(spark, api, tmp_path):
         pass
     api.routes["/e"] = lambda q, h, b: (500, {}, "") if q.get("cursor") else cursor_events(q, h, b)
     state.unlink()
-    e.source.http.__dict__["max_retries"] = 0
     with pytest.raises(EngineError), e.incremental("e") as df:
         collect_clean(df)
     assert not state.exists()
