@@ -69,7 +69,7 @@ def phrase_candidates(index: DataFrame, windows: DataFrame, small: bool) -> Data
     terms = windows.select("phrase_id", F.size("words").alias("n"), F.posexplode("words").alias("off", "word")).select("phrase_id", "n", "off", F.xxhash64("word").alias("term"))
     frequency = index.groupBy("term").agg(F.count("*").alias("n_postings"))
     by_rarity = W.partitionBy("phrase_id").orderBy("n_postings", "off")
-    ranked = terms.join(frequency, "term").withColumn("found", F.count("*").over(W.partitionBy("phrase_id"))).filter("found = n").withColumn("rank", F.row_number().over(by_rarity))
+    ranked = terms.join(hint(frequency), "term").withColumn("found", F.count("*").over(W.partitionBy("phrase_id"))).filter("found = n").withColumn("rank", F.row_number().over(by_rarity))
     ranked = stage(ranked.filter("rank <= 2").select("phrase_id", "n", "off", "term", "rank"), "rare-terms")
     first = ranked.filter("rank = 1").select("phrase_id", "n", "off", "term")
     second = ranked.filter("rank = 2").select("phrase_id", F.col("off").alias("off2"), F.col("term").alias("term2"))
@@ -91,7 +91,7 @@ def proximity_matches(index: DataFrame, windows: DataFrame, slop: int, small: bo
     terms = windows.select("phrase_id", F.size("words").alias("n"), F.posexplode("words").alias("off", "word")).select("phrase_id", "n", "off", F.xxhash64("word").alias("term"))
     frequency = index.groupBy("term").agg(F.count("*").alias("n_postings"))
     rarity = W.partitionBy("phrase_id").orderBy("n_postings", "off")
-    ranked = stage(terms.join(frequency, "term").withColumn("rank", F.row_number().over(rarity)), "rare-terms")
+    ranked = stage(terms.join(hint(frequency), "term").withColumn("rank", F.row_number().over(rarity)), "rare-terms")
     anchors = index.join(hint(ranked.filter("rank = 1")), "term").select("doc_id", "h", "phrase_id", "n", (F.col("pos") - F.col("off")).alias("start"))
     near = index.join(hint(ranked.select("term").distinct()), "term", "left_semi").select("doc_id", "h", "term", F.col("pos").alias("at")).distinct()
     # cells as wide as the slop make the range condition an equality of neighbouring cells
