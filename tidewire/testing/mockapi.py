@@ -112,6 +112,7 @@ class MockApi:
         self.routes: dict[str, Any] = {}
         self.log: list[str] = []
         self.page_size, self.lock = 1000, threading.Lock()
+        self.compress = False  # whether large bodies go out in gzip to clients that take it
         self._arrays: dict[str, list[str]] = {}
         self._by_key: dict[str, dict[Any, list[int]]] = {}
         self.server: ThreadingHTTPServer | None = None
@@ -178,7 +179,7 @@ class MockApi:
             else:
                 headers |= found[0]
                 body = found[1]
-        if "gzip" in (h.headers.get("Accept-Encoding") or "") and len(body) > 1 << 20 and "stream" not in headers["Content-Type"]:
+        if self.compress and "gzip" in (h.headers.get("Accept-Encoding") or "") and len(body) > 1 << 20 and "stream" not in headers["Content-Type"]:
             body = gzip.compress(body, 1)
             headers["Content-Encoding"] = "gzip"
         h.send_response(status)
