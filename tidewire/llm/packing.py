@@ -15,6 +15,7 @@ length is cut into full pieces and one rest; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections import defaultdict
@@ -48,11 +49,12 @@ class _WordIds(dict):
     Two generations of words are held, so memory is bounded and frequent words stay.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode, self.most, self.old = Tokenizer.from_file(path).encode, most, {}
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.model, self.most, self.old = tokenizer.encode, tokenizer.model.tokenize, most, {}
         self[""] = b""
 
     def __missing__(self, word: str) -> bytes:
@@ -67,14 +69,31 @@ class _WordIds(dict):
         return ids
 
     def _ids(self, word: str) -> bytes:
-        stem, last = word[:-1], word[-1]
-        if last in ".," and stem.isalpha() and max(stem) < "ɐ":  # letters and one mark are split by the tokenizer
-            return self[stem] + self[last]
-        if word.isascii() and word.isalpha() and not word.islower():
-            return self[word.lower()]
+        if word[-1].isalpha():
+            if word.isalpha() and max(word) <= "ÿ":
+                # such letters pass every step before the model one by one: lower case, then byte by byte
+                small = word.lower()
+                if small != word:
+                    return self[small]
+                return struct.pack(f"<{len(ids := self.model(small.translate(_BYTE_LEVEL)))}I", *(t.id for t in ids))
+        elif (m := _MARKED.fullmatch(word)) and m[1].isalpha():
+            return self[m[1]] + self[m[2]]  # the tokenizer splits letters from marks
         return struct.pack(f"<{len(ids := self.encode(word, add_special_tokens=False).ids)}I", *ids)
 
 
+#: Letters, then ASCII marks other than the apostrophe, which the tokenizer joins with what follows.
+_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+
+
+def _byte_level() -> dict[int, str]:
+    """Each Latin-1 character as the model's letters for its UTF-8 bytes: printable bytes are themselves, others follow at 256."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+
+
+_BYTE_LEVEL = _byte_level()
 _WORDS: dict[str, _WordIds] = {}
 
 
