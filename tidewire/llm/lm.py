@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, importable, read_table, stage, unstage
+from .common import fold, forget_shuffles, importable, read_table, stage, unstage
 from .textkernel import TOKEN_BYTES, U64, batches_by_bytes, mix, mix_int, release, words
 
 FOLDS = 10
@@ -316,6 +316,7 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
 
     unigrams = chunks.select("block", "keys", "counts").mapInArrow(_unigrams(bits), "part int, block bigint, keys binary, counts binary")
     totals = stage(unigrams.groupBy("part").applyInArrow(_add_up, "block bigint, part int, total binary, n bigint, v bigint"), "totals")
+    forget_shuffles(spark)
     facts = totals.agg(F.sum("n"), F.sum("v")).first()
     n, v = facts[0] or 0, facts[1] or 0
 
@@ -325,6 +326,7 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
 
     pairs = counted.select("held", "size", "keys", "codes").mapInArrow(_pairs(bits), "part int, contexts binary, runs binary, pairs binary, counts binary")
     filters = stage(pairs.groupBy("part").applyInArrow(_filter, "part int, n_words bigint, words binary"), "filters")
+    forget_shuffles(spark)
     sizes = {r["part"]: 8 * r["n_words"] for r in filters.select("part", "n_words").collect()}
     shards, at = [], 0
     while at < 1 << bits:
