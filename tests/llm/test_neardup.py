@@ -66,6 +66,25 @@ def test_large_group_around_one_text(spark, seed):
     assert got(op.classes(df), "doc_id", "class_id", "class_size") == brute(rows)
 
 
+@pytest.mark.parametrize("block", [16, None])
+def test_pairs_on_a_template(spark, monkeypatch, block):
+    """Texts on one template, 0.786 like each other, with a pair at 0.802 for each; a bucket's hubs are in few of them."""
+    import random
+
+    if block:
+        monkeypatch.setattr(op, "BLOCK", block)
+    rng = random.Random(5)
+    base = prose(rng, 204).split(" ")
+    rows = []
+    for i in range(240):
+        slot = [f"pair{i // 2}x{k}" if k < 2 else f"own{i}x{k}" for k in range(20)]
+        rows.append((i, " ".join(base[:90] + slot + base[110:])))
+    want = brute(rows)
+    assert [n for _, _, n in want] == [2] * 240
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(op.classes(df), "doc_id", "class_id", "class_size") == want
+
+
 def test_components(spark):
     import random
 

@@ -8,10 +8,12 @@ connected set of linked texts, and its id the smallest doc_id in it. Equal texts
 2. Texts that share a band make a bucket. A bucket is never expanded into all its pairs. Each text has a centrality,
    the sum of the sizes of its buckets: the text that copies were made from shares buckets with most of them. The most
    central texts of a bucket are its hubs, and every other member is compared with each hub; buckets of up to
-   ``HUBS + 1`` texts are thus compared in full. A second round takes hubs from the members of larger buckets that
-   aren't in the class of the bucket's first hub yet, and compares them with all its members.
+   ``HUBS + 1`` texts are thus compared in full.
 3. Candidates are checked exactly on the sets of runs of their whole texts.
-4. Links become classes by rounds of contraction: texts move to their best linked neighbour. Links and moves stay
+4. Two members of a larger bucket that aren't hubs need no comparison if they are in one class by now. All others are
+   compared with each other, block by block: a task counts the common runs of all pairs of two blocks at once. So every
+   pair of texts that share a bucket is compared or in one class.
+5. Links become classes by rounds of contraction: texts move to their best linked neighbour. Links and moves stay
    distributed, and every round is a table in the shared folder.
 
 Nulls and edge cases: a text of fewer than five words, but not none, has one run of all of them; texts without words
@@ -42,7 +44,8 @@ BANDS, ROWS = 40, 6
 HUBS, FEW_HUBS, SMALL = 7, 1, 64
 #: Shares of a large bucket's members.
 SALTS = 32
-ROUNDS = 2
+#: Texts and runs of a block of a larger bucket's members.
+BLOCK, BLOCK_RUNS = 256, 500_000
 #: Above so many texts to compare their ids aren't broadcast.
 MAX_KEYS = 500_000
 
@@ -95,10 +98,15 @@ def _top(rows: DataFrame, n: int) -> DataFrame:
     return salted.select("bucket", F.col("text").alias("hub"), F.col("central").alias("hub_central"), "rank", "size")
 
 
-def candidates(members: DataFrame, pool: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of each bucket's hubs (taken from pool) with all its members."""
+def hubs_of(members: DataFrame) -> DataFrame:
+    """Rows (bucket, hub, size), staged."""
+    hubs = _top(members, HUBS).filter(F.col("rank") <= F.when(F.col("size") > SMALL, FEW_HUBS).otherwise(HUBS))
+    return stage(hubs.select("bucket", "hub", "size"), "hubs")
+
+
+def candidates(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of each bucket's hubs with all its members."""
     large = F.col("size") > SMALL
-    hubs = _top(pool, HUBS).filter(F.when(large, F.col("rank") <= FEW_HUBS).otherwise(F.col("rank") <= HUBS))
     # the members of a large bucket are dealt to several tasks, each with the bucket's hubs
     hubs = hubs.select("bucket", "hub", F.explode(F.when(large, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
     salt = F.when(large, F.pmod(F.xxhash64("text"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt")
@@ -128,20 +136,80 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("a", "b")}).filter(pa.array(keep, pa.bool_()))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) at or over the similarity."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("text")).distinct()
+def run_sets(needed: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows (id, runs), the sorted set of runs of each text in needed, staged."""
     needed = stage(needed.join(texts.select("text", "doc", "key"), "text").select(F.col("text").alias("id"), "doc", "key"), "needed")
     if needed.count() <= MAX_KEYS:
         needed = F.broadcast(needed)
     source = docs.select(F.col("doc_id").alias("doc"), "text")
     found = needed.join(source, needed["doc"].eqNullSafe(source["doc"])).filter(text_key(source["text"]) == needed["key"]).select("id", source["text"])
-    sets = stage(found.mapInArrow(_sets, "id bigint, runs binary").dropDuplicates(["id"]), "sets")
+    return stage(found.mapInArrow(_sets, "id bigint, runs binary").dropDuplicates(["id"]), "sets")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) at or over the similarity."""
+    sets = run_sets(pairs.select(F.explode(F.array("a", "b")).alias("text")).distinct(), texts, docs)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("runs").alias("runs_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("runs").alias("runs_b")), "b")
     return stage(both.select("a", "b", "runs_a", "runs_b").mapInArrow(_similar, "a bigint, b bigint"), "links")
 
 
+def blocks(members: DataFrame, hubs: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows (bucket, i, j, block, text, root), staged: blocks i and j of a bucket, of which all pairs are to be compared.
+
+    Hubs are left out, and buckets whose other members are in one class. A bucket of several blocks has its largest
+    class in blocks of its own, which aren't paired with each other.
+    """
+    rest = members.filter(F.col("size") > HUBS + 1).join(hubs.select("bucket", F.col("hub").alias("text")), ["bucket", "text"], "left_anti")
+    rest = rest.join(label, "text", "left").join(texts.select("text", "n_runs"), "text")
+    rest = stage(rest.select("bucket", "text", F.coalesce("root", "text").alias("root"), "n_runs"), "rest")
+    by_class = rest.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n_runs").alias("runs"))
+    open_ = by_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("runs").alias("runs"), F.max(F.struct("n", "root", "runs")).alias("main")).filter("classes > 1")
+    fill = lambda n, runs: F.ceil(F.greatest(n / BLOCK, runs / BLOCK_RUNS))
+    whole = fill(F.col("n"), F.col("runs")) == 1
+    first = F.when(whole, 1).otherwise(fill(F.col("n") - F.col("main.n"), F.col("runs") - F.col("main.runs"))).alias("first")
+    last = F.when(whole, 0).otherwise(fill(F.col("main.n"), F.col("main.runs"))).alias("last")
+    dealt = rest.join(open_.select("bucket", F.when(~whole, F.col("main.root")).alias("main"), first, last), "bucket")
+    dealt = dealt.withColumn("in_main", F.coalesce(F.col("root") == F.col("main"), F.lit(False))).withColumn("hash", F.xxhash64("text"))
+    dealt = dealt.withColumn("block", F.when(F.col("in_main"), F.expr("first + pmod(hash, last)")).otherwise(F.expr("pmod(hash, first)")))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, first + if(in_main, 0, last) - 1)")))
+    return stage(dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "text", "root"), "blocks")
+
+
+def _compare(key: tuple, rows: pa.Table) -> pa.Table:
+    """The pairs (a, b) of two blocks, or in one, that are in two classes and at or over the similarity."""
+    runs = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("runs")]
+    n = np.array([len(x) for x in runs])
+    text, root, block = (rows.column(c).to_numpy() for c in ("text", "root", "block"))
+    x, y = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+    _, run, seen = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(runs)), n)
+    shared = seen > 1  # a run of one text is common to none
+    of, run = of[shared[run]], (np.cumsum(shared) - 1)[run[shared[run]]]
+    order = np.argsort(run, kind="stable")
+    of, run = of[order], run[order]
+    common = np.zeros((len(x), len(y)), np.float32)
+    step = 4096
+    for lo in range(0, int(shared.sum()), step):
+        a, b = np.searchsorted(run, [lo, lo + step])
+        has = np.zeros((len(runs), step), np.float32)
+        has[of[a:b], run[a:b] - lo] = 1
+        common += has[x] @ has[y].T
+    common = common.astype(np.float64)
+    close = (common >= SIMILARITY * (n[x][:, None] + n[y] - common) - 1e-9) & (root[x][:, None] != root[y])
+    p, q = np.nonzero(close)
+    p, q = text[x[p]], text[y[q]]
+    pairs = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0).astype(np.int64)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def compare(dealt: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links (a, b) between the classes in the blocks."""
+    sets = run_sets(dealt.select("text").distinct(), texts, docs)
+    rows = dealt.join(sets.withColumnRenamed("id", "text"), "text")
+    return stage(rows.groupBy("bucket", "i", "j").applyInArrow(_compare, "a bigint, b bigint").distinct(), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Rows (text, root): one text of each connected set, for every text with a link.
 
@@ -167,7 +235,7 @@ def components(links: DataFrame) -> DataFrame:
     return stage(label, "labels")
 
 
-def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def classes(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, key, class_id, class_key, class_size) for each row of docs; size counts rows.
 
     (class_id, class_key) name the text that stands for the class: the smallest doc_id in it, and of the texts with
@@ -175,28 +243,17 @@ def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     signed = sign(docs)
     # equal texts become one text, named by a number made from its key
-    one = signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc"), F.first("bands", True).alias("bands"), F.count("*").alias("n"))
+    one = signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc"), F.first("bands", True).alias("bands"), F.first("n_runs", True).alias("n_runs"), F.count("*").alias("n"))
     texts = stage(one.withColumn("text", F.monotonically_increasing_id()), "texts")
     members = buckets(texts)
-    pairs = stage(candidates(members, members), "pairs")
-    links = verify(pairs, texts, docs)
+    hubs = hubs_of(members)
+    links = verify(stage(candidates(members, hubs), "pairs"), texts, docs)
     label = components(links)
-    for _ in range(1, rounds):
-        named = members.join(label, "text", "left").withColumn("root", F.coalesce("root", "text"))
-        first = _top(named, 1).select("bucket", "hub")
-        first = first.join(label.select(F.col("text").alias("hub"), F.col("root").alias("hub_root")), "hub", "left").select("bucket", F.coalesce("hub_root", "hub").alias("hub_root"))
-        open_ = named.filter(F.col("size") > HUBS + 1).join(first, "bucket")
-        others = stage(open_.filter("root <> hub_root"), "others")
-        more = candidates(open_.join(others.select("bucket").distinct(), "bucket", "left_semi"), others).join(pairs, ["a", "b"], "left_anti")
-        more = stage(more, "pairs")
-        if not more.limit(1).count():
-            break
-        new = verify(more, texts, docs)
-        if not new.limit(1).count():
-            break
-        pairs = pairs.union(more)
-        links = links.union(new)
-        label = components(links)
+    rest = blocks(members, hubs, label, texts)
+    if rest.limit(1).count():
+        more = compare(rest, texts, docs)
+        if more.limit(1).count():
+            label = components(links.union(more))
     named = texts.join(label, "text", "left").select("key", "doc", "n", F.coalesce("root", "text").alias("root"))
     heads = named.groupBy("root").agg(F.min(F.struct(F.isnull("doc").alias("none"), "doc", F.hex("key").alias("key"))).alias("head"), F.sum("n").alias("class_size"))
     by_key = named.join(heads, "root").select("key", F.col("head.doc").alias("class_id"), F.unhex("head.key").alias("class_key"), "class_size")
