@@ -79,5 +79,44 @@ def test_pieces(docs, rows, tokenizer, capacity):
     assert sorted(by_sequence) == list(range(len(by_sequence))) and len(by_sequence) <= 1.3 * total / capacity + 1
 
 
+@pytest.mark.parametrize("hot", [1400, 1100])
+def test_hot_length(hot):
+    """A third of the pieces have one length and the others are spread evenly; or all are just over half a sequence."""
+    spread = {n: 100 for n in range(1, 2049)} if hot == 1400 else {1030 + i: 10 for i in range(500)}
+    histogram = spread | {hot: spread[hot] + sum(spread.values()) // 2}
+    patterns, parts = op.plan(histogram)
+    sequences, total = sum(p.count for p in patterns), sum(n * k for n, k in histogram.items())
+    assert sum(p.total * p.count for p in patterns) == total
+    assert all(p.total == sum(n * k for n, k in p.parts) <= 2048 for p in patterns)
+    assert sequences <= 1.03 * total / 2048 + 1
+
+
+def test_cut_again(spark, tokenizer):
+    """Every id stands once, in its place, when pieces are cut again; sequences are nearly full."""
+    vocabulary = "one two three four five six seven eight nine ten".split()
+    texts = [" ".join(vocabulary[(i * j + j // 3) % 10] for j in range(1100 + i % 7)) for i in range(60)] + ["one two"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = op.pack(df).collect()
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [1], "<u4") for t in texts]
+    for doc, x in enumerate(ids):
+        at = 0
+        for r in sorted((r for r in out if r.doc_id == doc), key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(x) and r.length > 0
+            assert r.ids_crc32 == zlib.crc32(x[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(x)
+    by_sequence = {}
+    for r in out:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_sequence) <= 1.05 * sum(map(len, ids)) / 2048 + 1
+
+
 def test_no_documents(no_docs):
     assert got(op.pack(no_docs), "doc_id") == []

@@ -5,12 +5,14 @@
 2. The histogram of lengths (at most ``capacity`` rows) goes to the driver, which places lengths longest first: the
    pieces of a length go to the shortest packs that they fit in, and what fits nowhere opens new packs. It moves
    counts between packing patterns, never single pieces, so the work depends on the capacity and not on the input.
+   If that leaves over ``PADDING`` of the sequences empty, pieces of the emptiest packs are cut again, at multiples of
+   a 64th of the capacity, to fill the others (``recut``), and the new lengths are placed instead.
 3. Each pattern owns runs of ranks of its lengths. A piece finds its run by its length and rank and from it its
-   sequence and its offset; ranks over partitions come from sums of each partition's counts.
+   sequence and its offset; the last ranks of a length are those cut again; ranks over partitions come from sums of each partition's counts.
 
 Nulls and edge cases: a null or empty text has no ids but the end id, so it is one piece of length 1; a null id is
 kept as it is; rows that repeat are packed as often as they stand there; an empty table gives no rows; a text of any
-length is cut into full pieces and one rest; other columns are ignored.
+length is cut into full pieces and one rest, or the rest into several; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from .textkernel import batches_by_bytes
 
 CAPACITY = 2048
 END_ID = 1
+#: The share of empty sequences from which pieces are cut again.
+PADDING = 0.005
 
 
 def default_tokenizer() -> str:
@@ -106,24 +110,45 @@ def ids_of(text: str | None, path: str, end_id: int | None = END_ID) -> bytes:
     return ids if end_id is None else ids + np.uint32(end_id).astype("<u4").tobytes()
 
 
+def grid(capacity: int) -> int:
+    """Pieces are cut again at multiples of so many ids."""
+    return max(1, capacity // 64)
+
+
+def _marks(piece: bytes, step: int) -> tuple[int, bytes]:
+    """The CRC of a piece, and those of its beginnings of each multiple of step bytes."""
+    crcs, crc = [], 0
+    for at in range(0, len(piece), step):
+        crc = zlib.crc32(piece[at : at + step], crc)
+        crcs.append(crc)
+    return crc, struct.pack(f"<{len(crcs)}I", *crcs)
+
+
+def _crc_between(before: int, whole: int, n: int) -> int:
+    """The CRC of the last n bytes, from the CRCs of what stands before them and of both."""
+    zeros = bytes(n)
+    return whole ^ zlib.crc32(zeros, before) ^ zlib.crc32(zeros)
+
+
 def _cut(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         size = 4 * capacity
         for batch in batches_by_bytes(batches, "text"):
-            rows: dict[str, list] = {k: [] for k in ("row", "start", "length", "ids_crc32", "doc_tokens", "nth")}
+            rows: dict[str, list] = {k: [] for k in ("row", "start", "length", "ids_crc32", "doc_tokens", "nth", "marks")}
             for i, text in enumerate(batch.column("text")):
                 ids = ids_of(text.as_py(), path, end_id)
                 for at in range(0, len(ids), size):
                     piece = ids[at : at + size]
                     n = len(piece) // 4
-                    for k, v in zip(rows, (i, at // 4, n, zlib.crc32(piece), len(ids) // 4, seen[n])):
+                    crc, marks = (zlib.crc32(piece), None) if n == capacity else _marks(piece, 4 * grid(capacity))
+                    for k, v in zip(rows, (i, at // 4, n, crc, len(ids) // 4, seen[n], marks)):
                         rows[k].append(v)
                     seen[n] += 1
-            took = pa.array(rows.pop("row"), pa.int64())
+            took, marks = pa.array(rows.pop("row"), pa.int64()), pa.array(rows.pop("marks"), pa.binary())
             cols = {"doc_id": batch.column("doc_id").take(took)} | {k: pa.array(v, pa.int64()) for k, v in rows.items()}
-            yield pa.RecordBatch.from_pydict(cols | {"part": pa.array(np.full(len(took), part, np.int64))})
+            yield pa.RecordBatch.from_pydict(cols | {"part": pa.array(np.full(len(took), part, np.int64)), "marks": marks})
 
     return run
 
@@ -175,6 +200,78 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
     return [p for t in sorted(open_, reverse=True) for p in open_[t]]
 
 
+@dataclass
+class Cuts:
+    """``count`` pieces of a length that are cut into these."""
+
+    length: int
+    count: int
+    into: list[int]
+
+
+def recut(histogram: dict[int, int], patterns: list[Pattern], capacity: int = CAPACITY) -> list[Cuts]:
+    """Cuts that dissolve the emptiest packs and fill others with their pieces, until little is left empty."""
+    step, total = grid(capacity), sum(n * k for n, k in histogram.items())
+    spare = sum(p.count for p in patterns) - total / capacity / (1 - PADDING) - 1
+    queue = [[p.total, p.count, p.parts] for p in sorted(patterns, key=lambda p: p.total) if capacity - p.total >= step]
+    cuts = []
+    while spare > 0 and queue:
+        filled, count, parts = queue[0]
+        room = (capacity - filled) // step * step
+        fills = sum(times * max(1, length // room) for length, times in parts)
+        dissolved = max(1, min(count // (fills + 1), int(spare)))
+        queue[0][1] -= dissolved
+        spare -= dissolved
+        for length, times in parts:
+            left = dissolved * times
+            while left:
+                while queue and not queue[0][1]:
+                    queue.pop(0)
+                if not queue:
+                    break
+                room, count = (capacity - queue[0][0]) // step * step, queue[0][1]
+                each = min(max(1, length // room), count)
+                used = min(left, count // each)
+                if length > room:
+                    rest = length - each * room
+                    cuts.append(Cuts(length, used, [room] * each + [rest] * (rest > 0)))
+                    spare += used * rest / capacity
+                queue[0][1] -= used * each
+                left -= used
+        while queue and not queue[0][1]:
+            queue.pop(0)
+    return cuts
+
+
+def cut_lengths(histogram: dict[int, int], cuts: list[Cuts]) -> tuple[dict[int, int], dict[str, np.ndarray]]:
+    """The histogram after the cuts; for each part of a cut, ordered by length and first rank, where it is and its first rank in its own length."""
+    after = dict(histogram)
+    for c in cuts:
+        after[c.length] -= c.count
+    kept, first, rows = dict(after), dict(after), []
+    for c in cuts:
+        at = 0
+        for n in c.into:
+            rows.append((c.length, first[c.length], at, n, after.get(n, 0)))
+            after[n] = after.get(n, 0) + c.count
+            at += n
+        first[c.length] += c.count
+    table = np.array(sorted(rows), np.int64).reshape(-1, 5)
+    assert all(first[n] == histogram[n] for n in kept)
+    return after, dict(zip(("length", "first", "at", "part", "rank"), table.T.copy()))
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Pattern], dict[str, np.ndarray]]:
+    """Patterns, and the parts of the pieces that are cut again."""
+    patterns = pack_histogram(histogram, capacity)
+    after, parts = cut_lengths(histogram, recut(histogram, patterns, capacity))
+    if len(parts["at"]):
+        better = pack_histogram(after, capacity)
+        if sum(p.count for p in better) < sum(p.count for p in patterns):
+            return better, parts
+    return patterns, cut_lengths(histogram, [])[1]
+
+
 def runs(patterns: list[Pattern]) -> dict[str, np.ndarray]:
     """Runs of ranks, ordered by length and first rank: the n-th piece of a run goes to sequence base + n % count."""
     rows, given, base = [], defaultdict(int), 0
@@ -189,16 +286,50 @@ def runs(patterns: list[Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "base", "count", "offset"), table.T.copy()))
 
 
-def _place(table: dict[str, np.ndarray]):
+def _cut_again(batch: dict[str, np.ndarray], marks: pa.Array, parts: dict[str, np.ndarray], step: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The rows with the pieces that are cut again replaced by their parts, and for each the row it comes from."""
+    keys = parts["length"] * (1 << 48) + parts["first"]
+    own, which = np.unique(keys, return_index=True)
+    many = np.diff(np.append(which, len(keys)))
+    length, rank = batch["length"], batch["rank"]
+    lowest = np.full(max(length.max(), parts["length"].max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(lowest, parts["length"], parts["first"])
+    cut = rank >= lowest[length]
+    group = np.searchsorted(own, length * (1 << 48) + rank, "right") - 1
+    n = np.where(cut, many[group], 1)
+    row = np.repeat(np.arange(len(length)), n)
+    out = {k: v[row] for k, v in batch.items()}
+    is_cut = cut[row]
+    nth = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))[is_cut]
+    part = which[group[row[is_cut]]] + nth
+    at, size = parts["at"][part], parts["part"][part]
+    out["rank"][is_cut] += parts["rank"][part] - parts["first"][part]
+    out["start"][is_cut] += at
+    out["length"][is_cut] = size
+    crcs = []
+    for i, lo, k, whole, all_ in zip(row[is_cut].tolist(), at.tolist(), size.tolist(), batch["ids_crc32"][row[is_cut]].tolist(), length[row[is_cut]].tolist()):
+        m = np.frombuffer(marks[i].as_buffer(), "<u4")
+        upto = whole if lo + k == all_ else int(m[(lo + k) // step - 1])
+        crcs.append(_crc_between(int(m[lo // step - 1]) if lo else 0, upto, 4 * k))
+    out["ids_crc32"][is_cut] = crcs
+    return row, out
+
+
+def _place(table: dict[str, np.ndarray], parts: dict[str, np.ndarray], step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # int64 can hold length * 2^48 + rank for every rank that a table can have
         keys = table["length"] * (1 << 48) + table["first"]
         for batch in batches:
-            length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("nth").to_numpy(zero_copy_only=False) + batch.column("before").to_numpy(zero_copy_only=False)
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "ids_crc32", "doc_tokens")}
+            rows["rank"] = batch.column("nth").to_numpy(zero_copy_only=False) + batch.column("before").to_numpy(zero_copy_only=False)
+            doc = batch.column("doc_id")
+            if len(parts["at"]) and batch.num_rows:
+                row, rows = _cut_again(rows, batch.column("marks"), parts, step)
+                doc = doc.take(pa.array(row))
+            length, rank = rows["length"], rows.pop("rank")
             at = np.searchsorted(keys, length * (1 << 48) + rank, "right") - 1
             nth = rank - table["first"][at]
-            out = {c: batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
+            out = {"doc_id": doc} | {c: pa.array(v) for c, v in rows.items()}
             out["sequence_id"] = pa.array(table["base"][at] + nth % table["count"][at])
             out["offset"] = pa.array(table["offset"][at] + length * (nth // table["count"][at]))
             yield pa.RecordBatch.from_pydict(out)
@@ -212,15 +343,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
     path = tokenizer or default_tokenizer()
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    pieces = stage(docs.select("doc_id", "text").mapInArrow(_cut(path, capacity, end_id), f"doc_id {kind}, {fields}, nth bigint, part bigint"), "pieces")
+    pieces = stage(docs.select("doc_id", "text").mapInArrow(_cut(path, capacity, end_id), f"doc_id {kind}, {fields}, nth bigint, part bigint, marks binary"), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     counts = stage(counts, "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = runs(pack_histogram(histogram, capacity))
+    patterns, parts = plan(histogram, capacity)
+    table = runs(patterns)
     before = F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     starts = counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
+    if not len(parts["at"]):
+        pieces = pieces.withColumn("marks", F.lit(None).cast("binary"))
     placed = pieces.join(starts, ["part", "length"])
-    return placed.mapInArrow(_place(table), f"doc_id {kind}, {fields}, sequence_id bigint, offset bigint")
+    return placed.mapInArrow(_place(table, parts, grid(capacity)), f"doc_id {kind}, {fields}, sequence_id bigint, offset bigint")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
