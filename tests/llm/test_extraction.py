@@ -61,6 +61,24 @@ def test_deep_and_long_pages():
     assert op.extract([long], op.default_model()) == ["\n".join([WORDS.strip()] * 5000)]
 
 
+@pytest.mark.parametrize("depth", [10, 3000, 20_000])
+def test_deep_pages_are_whole(depth):
+    assert op.extract(["<div>" * depth + f"<article><p>{WORDS * 3}</p></article>"], op.default_model()) == [(WORDS * 3).strip()]
+
+
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ("<div><svg><path d=x></div>", ""), ("<svg><path d=x>", ""), ("<div><template><p>hid</p><div>den</div><p>still hidden</div>", ""), ("<svg><path></svg><template><p>hidden</p></template>", ""),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be given, as we know it from before.</p>", "Let x=1 be given, as we know it from before."),
+        ("<object><p>The fallback text of this object is here, and long enough.</p></object>", "The fallback text of this object is here, and long enough."), ("<noscript>Turn it on, please, to read on here.</noscript>", ""),
+    ],
+)
+def test_only_the_element_itself_is_skipped(inside, want):
+    html = f"<article><h1>T</h1><p>{WORDS}</p>{inside}<p>{WORDS}</p></article>"
+    assert op.extract([html], op.default_model()) == ["\n".join(x for x in ("T", WORDS.strip(), want, WORDS.strip()) if x)]
+
+
 def test_table(spark):
     page = f"<article><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></article>"
     text = f"T\n{WORDS.strip()}\n{WORDS.strip()}"

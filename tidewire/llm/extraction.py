@@ -12,8 +12,10 @@ whose gradient is the labels' counts less those that message passing expects. Th
 element; no input of a query goes into the training.
 
 Nulls and edge cases: a null or empty html gives an empty text; a null page_id or url is kept; a page cut off anywhere
-is read up to there; unknown or unclosed tags are fine; repeated rows are extracted each; text of any length and
-nesting of any depth is kept whole; an empty table gives no rows; other columns are ignored.
+is read up to there; unknown or unclosed tags are fine; an unclosed svg or template ends with the element that it is in;
+repeated rows are extracted each; text of any length and nesting of any depth is kept whole; the text of formulas and
+the fallback of an object are text, a noscript element's, which readers don't see, isn't; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from .textkernel import batches_by_bytes
 _TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>|/[^a-zA-Z][^>]*>)", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements whose content is never text of the page.
-_SKIP = frozenset("script style noscript template svg math iframe object select textarea button title head audio video canvas map".split())
+_SKIP = frozenset("script style noscript template svg annotation annotation-xml iframe select textarea button title head audio video canvas map".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that begin a block of their own.
 _BLOCKS = frozenset(
@@ -73,6 +75,23 @@ class Page:
     runs: list[tuple[int, str]]
 
 
+def _unclosed(page: str, at: int, name: str) -> int:
+    """Where an svg or a template that is never closed ends: at the end of the element that it is in; an svg at any block, too."""
+    inside: list[str] = []
+    for m in _TOKEN.finditer(page, at):
+        tag = m[2].lower() if m[2] else ""
+        if tag not in _BLOCKS:
+            continue
+        if name == "svg" or m[1] and tag not in inside:
+            return m.start()
+        if m[1]:
+            while inside.pop() != tag:
+                pass
+        else:
+            inside.append(tag)
+    return len(page)
+
+
 def parse(page: str) -> Page:
     parent, kind, tags, names = [-1], [0], ["html"], [(False, False)]
     runs: list[tuple[int, str]] = []
@@ -115,8 +134,10 @@ def parse(page: str) -> Page:
                     end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 if end:
                     at = end.end()
-                elif name in ("script", "style", "textarea", "title", "template", "svg"):
-                    break
+                elif name in ("template", "svg"):
+                    at = _unclosed(page, at, name)
+                elif name in ("script", "style", "textarea", "title"):
+                    break  # all that follows is in it
             continue
         if name == "a":
             in_link = not m[1]
