@@ -141,6 +141,18 @@ def test_cursor(api):
     assert len(list(paging.pages(client(api), "/e", {}, Pagination("cursor", cursor_path="/next", max_pages=4), "/items"))) == 4
 
 
+def test_a_read_that_ends_at_max_pages_is_logged(api, caplog):
+    api.routes["/e"] = lambda q, h, b: {"next": "same", "items": []}
+    api.routes["/l"] = lambda q, h, b: (200, {"Link": '</l>; rel="next"'}, [{"id": 1}])
+    api.routes["/i"] = rows(5)
+    for path, paged, data in (("/e", Pagination("cursor", cursor_path="/next", max_pages=2), "/items"), ("/l", Pagination("link_header", max_pages=2), None), ("/i", Pagination("offset", page_size_param="limit", max_page_size=2, max_pages=2, results_path="/results"), "/results")):
+        caplog.clear()
+        assert len(list(paging.pages(client(api), path, {}, paged, data))) == 2
+        assert f"{path}: the read ended at max-pages (2)" in caplog.text
+    caplog.clear()
+    assert ids(paging.pages(client(api), "/i", {}, OFFSET, "/results")) == list(range(5)) and not caplog.text
+
+
 def rows(total, cap=10**9, ignore=False):
     def answer(q, h, b):
         lo = int(q.get("offset", 0))

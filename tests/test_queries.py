@@ -26,6 +26,24 @@ def plain(rows):
     return sorted(repr(tuple(round(v, 6) if isinstance(v, float) and not math.isnan(v) else v for v in r)) for r in rows)
 
 
+def test_tables_of_many_pages(spark):
+    """More pages than the default of max-pages; and limits that hold the whole table."""
+    e = queries.engine(spark, DATA, page=1)
+    held = queries.api(DATA).resources
+    assert len(held["orders"].rows) > 1000
+    assert e.sql(f"SELECT o_orderkey FROM {e.name}.orders").count() == len(held["orders"].rows)
+    for name in ("customer", "supplier"):
+        assert e.catalog.table(name).table.pagination.max_pages > len(held[name].rows)
+
+
+def test_limit_follows_the_table(spark, monkeypatch):
+    seen = []
+    real = queries.Engine.table
+    monkeypatch.setattr(queries.Engine, "table", lambda self, name, **kw: (seen.append((name, kw.get("limit"))), real(self, name, **kw))[1])
+    queries.queries()["st1_limited_broadcast"](spark, DATA)
+    assert ("customer", len(queries.api(DATA).resources["customer"].rows)) in seen
+
+
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_query(spark, db, name):
     df = queries.queries()[name](spark, DATA)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import queue
 import re
 import threading
@@ -17,6 +18,8 @@ from ..functions.convert import loads
 from .config import Pagination
 from .http import Client, Response, origin
 
+log = logging.getLogger("tidewire")
+
 
 @dataclass
 class Page:
@@ -74,6 +77,7 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
             if after is None or limit and held >= limit:
                 return
             cursor = after
+        _cut_short(path, paging)
         return
     if paging.style == "link_header":
         url, held = client.url(path, params | size_param), 0
@@ -89,6 +93,7 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
             if client.auth.type != "none" and origin(after) != home:
                 raise EngineError(f"the next page's link leads to {urllib.parse.urlsplit(after).netloc}; credentials aren't sent to another origin")
             url = after
+        _cut_short(path, paging)
         return
     yield from _offset(client, path, params, paging, data_path, limit, start, window)
 
@@ -122,6 +127,12 @@ def _offset(client: Client, path: str, params: dict[str, str], paging: Paginatio
         if left is not None:
             left -= held
         yield _page(client, got, body, data_path, str(at))
+    if left is None or left > 0:
+        _cut_short(path, paging)
+
+
+def _cut_short(path: str, paging: Pagination) -> None:
+    log.warning("%s: the read ended at max-pages (%d), and there may be more pages", path, paging.max_pages)
 
 
 def lines(client: Client, path: str, params: dict[str, str], limit: int | None = None) -> Iterator[Any]:
