@@ -13,9 +13,13 @@ places AS (SELECT doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') AS ph
            FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS pos FROM d, (SELECT DISTINCT n FROM iw))),
 hits AS (SELECT doc_id, n, pos, item_id FROM places JOIN iw USING (n, phrase)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + n - 1)) AS p FROM hits) GROUP BY doc_id),
-owners AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id)
+owners AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM d),
+pw AS (SELECT phrase, n, unnest(string_split(phrase, ' ')) AS word, unnest(generate_series(0, n - 1)) AS off FROM (SELECT DISTINCT phrase, n FROM iw)),
+nearby AS (SELECT DISTINCT doc_id, phrase FROM (SELECT doc_id, phrase, n, off, unnest([pos - off - 1, pos - off, pos - off + 1]) AS start FROM dw JOIN pw USING (word)) GROUP BY doc_id, phrase, n, start HAVING bit_or(1 << off) = (1 << n) - 1),
+near_owners AS (SELECT doc_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM nearby JOIN iw USING (phrase)) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated, coalesce(n_near, 0) AS n_near, sha256(coalesce(near, '')) AS near_sha256
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id) LEFT JOIN near_owners USING (doc_id)
 """
 
 NEARDUP = f"""
