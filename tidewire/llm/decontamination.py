@@ -130,7 +130,9 @@ def _texts_at(docs: DataFrame, places: DataFrame) -> DataFrame:
         texts = texts.join(F.broadcast(keys), texts["d"].eqNullSafe(keys["doc_id"]) & (texts["k"] == keys["h"]), "left_semi")
     # rows that repeat are one here; the partial aggregate merges them before the shuffle
     texts = texts.groupBy("d", "k").agg(F.first("text").alias("text"))
-    return places.join(texts, places["doc_id"].eqNullSafe(texts["d"]) & (places["h"] == texts["k"])).select("doc_id", "h", "places", words_of(F.col("text")).alias("w"))
+    # split below the join: above it, the split would move into the functions that run for every place
+    texts = texts.select("d", "k", words_of(F.col("text")).alias("w"))
+    return places.join(texts, places["doc_id"].eqNullSafe(texts["d"]) & (places["h"] == texts["k"])).select("doc_id", "h", "places", "w")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least_items: int = 2, slop: int = SLOP, max_terms: int = MAX_TERMS) -> DataFrame:
