@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -24,6 +25,28 @@ def test_word_by_word_is_the_whole(tokenizer, rows):
         assert np.frombuffer(op.ids_of(text, op.default_tokenizer()), "<u4").tolist() == want
 
 
+def test_odd_strings(tokenizer):
+    """Capital letters whose lower case ends in a mark, combining marks, old and new letters, digits, quotes, special tokens."""
+    rng = random.Random(4)
+    pool = [*"İıſΣςßÀéñǅŉΐ", "\u0307", "\u0301", "\u0345", "ẞ", "ﬁ", "K", "Å", "中", "ก", "\u0e31", "ﷺ", "\u1c89", "\ua7cb", "𐐀", "٣", "½", *"aZx09'\"\"..,;-_<|>", "'s", "'ll", " ", " ", "\n", "\u00a0", "\u2028", "<|endoftext|>"]
+    assert op.ids_of("", op.default_tokenizer(), None) == b"" and op._WORDS[op.default_tokenizer()].by_word
+    texts = ["Saat 5'te İ. Yılmaz ve Aİ, geldi.", 'İ."'] + ["".join(rng.choices(pool, k=rng.randint(1, 9))) for _ in range(100_000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, w in zip(texts, want) if np.frombuffer(op.ids_of(t, op.default_tokenizer(), None), "<u4").tolist() != w] == []
+
+
+def test_other_tokenizers():
+    """A tokenizer that doesn't treat words alone gets whole texts."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = tokenizers.Tokenizer.from_file(path)
+    for text in ("two  words\n\n here.", "İ. <|endoftext|> x", "", None):
+        want = other.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(op.ids_of(text, path, None), "<u4").tolist() == want
+    assert not op._WORDS[path].by_word
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.text(max_size=60))
 def test_any_text(text):
@@ -91,6 +114,13 @@ def test_hot_length(hot):
     assert sequences <= 1.03 * total / 2048 + 1
 
 
+def test_lengths_that_do_not_combine():
+    """10,000 documents of 1,030 ids: under 1 % padding."""
+    patterns, _ = op.plan({1030: 10_000})
+    assert sum(p.total * p.count for p in patterns) == 1030 * 10_000
+    assert sum(p.count for p in patterns) <= 1030 * 10_000 / 2048 / 0.99
+
+
 def test_cut_again(spark, tokenizer):
     """Every id stands once, in its place, when pieces are cut again; sequences are nearly full."""
     vocabulary = "one two three four five six seven eight nine ten".split()

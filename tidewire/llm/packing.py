@@ -6,7 +6,7 @@
    pieces of a length go to the shortest packs that they fit in, and what fits nowhere opens new packs. It moves
    counts between packing patterns, never single pieces, so the work depends on the capacity and not on the input.
    If that leaves over ``PADDING`` of the sequences empty, pieces of the emptiest packs are cut again, at multiples of
-   a 64th of the capacity, to fill the others (``recut``), and the new lengths are placed instead.
+   a 256th of the capacity, to fill the others (``recut``), and the new lengths are placed instead.
 3. Each pattern owns runs of ranks of its lengths. A piece finds its run by its length and rank and from it its
    sequence and its offset; the last ranks of a length are those cut again; ranks over partitions come from sums of each partition's counts.
 
@@ -17,8 +17,10 @@ length is cut into full pieces and one rest, or the rest into several; other col
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -46,11 +48,25 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The steps of a tokenizer before its model for which words can be looked up one by one.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class _WordIds(dict):
     """Ids of a piece of text without ASCII white space, as little-endian bytes.
 
     The tokenizer splits at white space and treats the parts alone, so a word's ids don't depend on its neighbours.
-    Two generations of words are held, so memory is bounded and frequent words stay.
+    Two generations of words are held, so memory is bounded and frequent words stay. ``by_word`` says whether this
+    holds for the tokenizer given; if not, whole texts are encoded.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -58,6 +74,8 @@ class _WordIds(dict):
 
         super().__init__()
         tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(tokenizer.to_str())
+        self.by_word = all(steps[k] == v for k, v in _STEPS.items()) and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in steps["added_tokens"])
         self.encode, self.model, self.most, self.old = tokenizer.encode, tokenizer.model.tokenize, most, {}
         self[""] = b""
 
@@ -80,9 +98,18 @@ class _WordIds(dict):
                 if small != word:
                     return self[small]
                 return struct.pack(f"<{len(ids := self.model(small.translate(_BYTE_LEVEL)))}I", *(t.id for t in ids))
-        elif (m := _MARKED.fullmatch(word)) and m[1].isalpha():
+        elif (m := _MARKED.fullmatch(word)) and _stay_letters(m[1]):
             return self[m[1]] + self[m[2]]  # the tokenizer splits letters from marks
-        return struct.pack(f"<{len(ids := self.encode(word, add_special_tokens=False).ids)}I", *ids)
+        return self.whole(word)
+
+    def whole(self, text: str) -> bytes:
+        return struct.pack(f"<{len(ids := self.encode(text, add_special_tokens=False).ids)}I", *ids)
+
+
+def _stay_letters(word: str) -> bool:
+    """Whether a word is letters only after normalisation, too: some lower-case forms end in a combining mark, which
+    joins the marks that follow. Letters that are newer than the database used are left to the tokenizer."""
+    return all(unicodedata.ucd_3_2_0.category(c)[0] == "L" for c in unicodedata.normalize("NFC", word).lower())
 
 
 #: Letters, then ASCII marks other than the apostrophe, which the tokenizer joins with what follows.
@@ -105,14 +132,18 @@ def ids_of(text: str | None, path: str, end_id: int | None = END_ID) -> bytes:
     """Ids of a text as unsigned 32-bit little-endian bytes, then the end id."""
     if path not in _WORDS:
         _WORDS[path] = _WordIds(path)
-    words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else ()
-    ids = b"".join(map(_WORDS[path].__getitem__, words))
+    known = _WORDS[path]
+    if not known.by_word:
+        ids = known.whole(text) if text else b""
+    else:
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else ()
+        ids = b"".join(map(known.__getitem__, words))
     return ids if end_id is None else ids + np.uint32(end_id).astype("<u4").tobytes()
 
 
 def grid(capacity: int) -> int:
     """Pieces are cut again at multiples of so many ids."""
-    return max(1, capacity // 64)
+    return max(1, capacity // 256)
 
 
 def _marks(piece: bytes, step: int) -> tuple[int, bytes]:
