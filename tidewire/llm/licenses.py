@@ -1,8 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
 Hundreds of regular expressions are written per license in ``LICENSES`` below and put in an order: a rule's kind gives
-its priority and confidence. A text is first searched for the few keywords; a rule runs only where all its keywords
-occur. Of the detections in a text, one that lies within the span of a detection of higher priority (or of the same
+its priority and confidence. A text, its white space made single spaces, is first searched for the rules' keywords; a
+rule then runs only around the places of its keyword, as far as a match can reach. Of the detections in a text, one that lies within the span of a detection of higher priority (or of the same
 priority and longer, or first) is suppressed. What remains gives the labels and the score.
 
 The base phrases are exact: places where their words stand consecutively; their labels always stay.
@@ -28,6 +28,7 @@ from .textkernel import batches_by_bytes, words
 #: Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
+_SPACE = re.compile(r"\s+")
 _V = r"(?:,?\s*(?:version|v\.?)?\s*)"
 #: label | names (regexes of a title) | SPDX identifiers | URLs | phrases of the license's own text
 LICENSES = r"""
@@ -108,18 +109,24 @@ KINDS = {
 }
 @dataclass(frozen=True)
 class Rule:
+    """``before`` and ``after`` are the most characters of a match on either side of its keyword; a link goes on to the next space."""
+
     label: str
     priority: int
     confidence: float
     keyword: str
     regex: re.Pattern
+    before: int
+    after: int
+    link: bool
 
 
-def keyword(pattern: str) -> str:
-    """The longest run of letters that every match of a pattern holds: outside its groups, choices and classes."""
-    depth, plain, i = 0, "", 0
+def keyword(pattern: str) -> tuple[str, int]:
+    """The longest run of letters that every match of a pattern holds, outside its groups, choices and classes; and where in the pattern it begins."""
+    depth, i = 0, 0
+    plain: list[tuple[str, int]] = []
     while i < len(pattern):
-        c = pattern[i]
+        at, c = i, pattern[i]
         if c == "[":
             i = pattern.index("]", i)
             c = ""
@@ -132,11 +139,29 @@ def keyword(pattern: str) -> str:
             c = pattern[i] if pattern[i] in "-/" else ""
         if c and c in "?*{":
             plain = plain[:-1]
-        plain += c if c.isalpha() and not depth else "\0"
+        plain.append((c if c.isalpha() and not depth else "\0", at))
         if c == "{":
             i = pattern.index("}", i)
         i += 1
-    return max(re.findall("[a-z]+", plain), key=len, default="")
+    found = max(re.finditer("[a-z]+", "".join(c for c, _ in plain)), key=lambda m: m.end() - m.start(), default=None)
+    return (found[0], plain[found.start()][1]) if found else ("", 0)
+
+
+def _most(pattern: str) -> int:
+    """The most characters that a pattern can match."""
+    return int(re._parser.parse(pattern).getwidth()[1])
+
+
+def _rule(label: str, priority: int, confidence: float, form: str, name: str) -> Rule:
+    word, at = ("spdx", 0) if form.startswith("spdx") else keyword(name)
+    whole, link = form.format(name), form.endswith(r"\S*")
+    before = 0 if form.startswith("spdx") else _most(form[: form.index("{}")].removesuffix("(?:")) + _most(name[:at])
+    return Rule(label, priority, confidence, word, re.compile(whole), before, _most(whole.removesuffix(r"\S*")) - len(word), link)
+
+
+def _single(pattern: str) -> str:
+    """A pattern for texts whose white space is single spaces: every match has a bounded length."""
+    return pattern.replace(r"[\s-]+", r"[\s-]{1,4}").replace("[-v]*", "[-v]{0,4}").replace(r"\s+", r"\s").replace(r"\s*", r"\s?")
 
 
 @lru_cache(maxsize=1)
@@ -145,14 +170,18 @@ def rules() -> tuple[Rule, ...]:
     out = []
     for line in LICENSES.strip().splitlines():
         label, names, ids, links, texts = (x.strip() for x in line.split(" | "))
-        parts = lambda field: [x.strip().replace("{v}", _V).replace("{{", "{").replace("}}", "}") for x in field.split(" ; ")]
+        parts = lambda field: [_single(x.strip().replace("{v}", _V).replace("{{", "{").replace("}}", "}")) for x in field.split(" ; ")]
         entries = {"identifier": ["|".join(parts(ids))], "link": parts(links), "grant": parts(names), "title": parts(names), "text": parts(texts)}
         for priority, (kind, (form, confidence)) in enumerate(KINDS.items()):
-            for p in entries[kind]:
-                out.append(Rule(label, priority, confidence, "spdx" if kind == "identifier" else keyword(p), re.compile(form.format(p))))
+            out += [_rule(label, priority, confidence, _single(form), p) for p in entries[kind]]
     return tuple(sorted(out, key=lambda r: r.priority))
 
 
+@lru_cache(maxsize=1)
+def _priorities() -> np.ndarray:
+    return np.array([r.priority for r in rules()], np.int64)
+
+
 @lru_cache(maxsize=1)
 def _prefilter():
     """An automaton of all keywords, each with the numbers of its rules."""
@@ -168,27 +197,66 @@ def _prefilter():
     return out
 
 
+def _uncovered(priority: np.ndarray, spans: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """Which detections lie within none of higher rank: of a smaller priority, or of the same one and longer or first.
+
+    A detection within a suppressed one lies within what suppresses that, too, so all may be compared with all: a sweep
+    over the starts keeps the furthest end so far.
+    """
+    start, end = spans[:, 0], spans[:, 1]
+    out = np.zeros(len(start), bool)
+    order = np.lexsort((nth, -end, start))
+    for p in np.unique(priority):
+        mine = order[priority[order] == p]
+        furthest = np.maximum.accumulate(end[mine])
+        covered = np.concatenate([[False], furthest[:-1] >= end[mine][1:]])
+        higher = order[priority[order] < p]
+        if len(higher):
+            at = np.searchsorted(start[higher], start[mine], "right")
+            reach = np.concatenate([[-1], np.maximum.accumulate(end[higher])])
+            covered |= reach[at] >= end[mine]
+        out[mine] = ~covered
+    return out
+
+
+def _matches(rule: Rule, text: str, ends: list[int]) -> Iterator[tuple[int, int]]:
+    """The spans of a rule's matches one after another, searched only around the ends of its keyword."""
+    at, n, search = 0, len(rule.keyword), rule.regex.search
+    for k in ends:
+        if k - n < at:
+            continue  # in the match before
+        stop = k + rule.after + 1
+        if rule.link and (stop := text.find(" ", stop)) < 0:
+            stop = len(text)
+        m = search(text, max(at, k - n - rule.before), stop)
+        if m:
+            at = m.end()
+            yield m.span()
+
+
 def detections(text: str) -> list[tuple[int, int, Rule]]:
-    """Detections in a text (A-Z in lower case) that no other one of at least their rank contains."""
-    open_ = {numbers for _, numbers in _prefilter().iter(text)}
-    if not open_:
+    """Detections in a text (A-Z in lower case) that no other one of at least their rank contains, by rank.
+
+    Places are those in the text with every run of white space as one space.
+    """
+    text = _SPACE.sub(" ", text)
+    places: dict[tuple[int, ...], list[int]] = {}
+    for end, numbers in _prefilter().iter(text):
+        places.setdefault(numbers, []).append(end + 1)
+    spans: list[tuple[int, int]] = []
+    nths: list[int] = []
+    for numbers, ends in places.items():
+        for nth in numbers:
+            new = list(_matches(rules()[nth], text, ends))
+            spans += new
+            nths += [nth] * len(new)
+    if not spans:
         return []
-    found = []
-    for nth in sorted(i for numbers in open_ for i in numbers):
-        rule = rules()[nth]
-        found += [(rule.priority, m.start() - m.end(), m.start(), nth, rule) for m in rule.regex.finditer(text) if m.end() > m.start()]
-    found.sort(key=lambda x: x[:4])
-    out: list[tuple[int, int, Rule]] = []
-    starts = np.zeros(0, np.int64)
-    reach = np.zeros(0, np.int64)  # the furthest end of the kept spans that begin at or before a start
-    for _, size, start, _, rule in found:
-        at = int(np.searchsorted(starts, start, "right"))
-        if at and reach[at - 1] >= start - size:
-            continue
-        out.append((start, start - size, rule))
-        starts = np.insert(starts, at, start)
-        reach = np.maximum.accumulate(np.insert(reach, at, start - size))
-    return out
+    spans, nth = np.array(spans, np.int64), np.array(nths, np.int64)
+    priority = _priorities()[nth]
+    kept = np.flatnonzero(_uncovered(priority, spans, nth))
+    kept = kept[np.lexsort((nth[kept], spans[kept, 0], spans[kept, 0] - spans[kept, 1], priority[kept]))]
+    return [(a, b, rules()[i]) for (a, b), i in zip(spans[kept].tolist(), nth[kept].tolist())]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
