@@ -9,10 +9,13 @@ least one half are the blocks.
 Both kinds of potentials are trained together from labelled pages: gradient ascent on the likelihood of the labels,
 whose gradient is the labels' counts less those that message passing expects. The labelled pages are made by
 ``labelled_pages``: layouts of articles among menus, adverts, notices, forms, comments and so on, with a label for each
-element; no input of a query goes into the training.
+element; no input of a query goes into the training. An article's own header, with its title and byline, and the captions
+of its figures are part of the article. Names count by their whole, or by their first or last part, unless a part such
+as ``no`` or ``tags`` makes them speak of something else; how much, the training says.
 
 Nulls and edge cases: a null or empty html gives an empty text; a null page_id or url is kept; a page cut off anywhere
-is read up to there; unknown or unclosed tags are fine; an unclosed svg or template ends with the element that it is in;
+is read up to there; unknown or unclosed tags are fine; a tag with an unclosed quote ends at the next ``>``; a page of
+any kind takes time in proportion to its length; an unclosed svg or template ends with the element that it is in;
 repeated rows are extracted each; text of any length and nesting of any depth is kept whole; the text of formulas and
 the fallback of an object are text, a noscript element's, which readers don't see, isn't; an empty table gives no rows;
 other columns are ignored.
@@ -23,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,7 +38,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import importable, read_table
 from .textkernel import batches_by_bytes
 
-_TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>|/[^a-zA-Z][^>]*>)", re.S)
+_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|!--|[!?]|/)")
+#: The rest of a sound tag: a quoted value ends at its quote, which white space, a slash or the tag's end follows.
+_REST = re.compile(r"""(?:[^=>]++|=\s*+(?:"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>])|[^\s"'>][^\s>]*+|(?=>)))*+>""")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements whose content is never text of the page.
 _SKIP = frozenset("script style noscript template svg annotation annotation-xml iframe select textarea button title head audio video canvas map".split())
@@ -52,8 +58,14 @@ _KIND = {
     "ul": "list", "ol": "list", "dl": "list", "dir": "list", "li": "item", "dt": "item", "dd": "item", "table": "table", "tbody": "table", "thead": "table", "tfoot": "table", "caption": "figure", "tr": "cell", "td": "cell", "th": "cell", "figure": "figure", "figcaption": "figure",
     "blockquote": "quote", "nav": "nav", "menu": "nav", "search": "form", "header": "header", "footer": "footer", "aside": "aside", "dialog": "aside", "form": "form", "fieldset": "form",
 }
-_BAD = re.compile(r"\b(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|side-?bar|widget|ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|gdpr|alert|popup|modal|overlay|footer|header|masthead|topbar|toolbar|login|signin|signup|register|newsletter|subscribe|subscription|search|share|sharing|social|related|recommended|recommendations|more-?stories|tags|tag-?list|pagination|pager|comments?|commentlist|replies|reply|respond|discussion|disqus|copyright|legal|disclaimer|skip-?link|contentinfo|complementary|form|toc)\b")
-_GOOD = re.compile(r"\b(?:article|content|post|entry|story|main|body|text|articlebody|prose|markdown)\b")
+#: Names of boilerplate, as they stand in classes, ids and roles; a hyphen within them doesn't count.
+_BAD = frozenset(
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar widget ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent notice gdpr alert popup modal overlay footer header masthead topbar toolbar login signin signup register newsletter subscribe subscription search share sharing social related recommended recommendations morestories tags taglist tagcloud pagination pager comment comments commentlist replies reply respond discussion disqus copyright legal disclaimer skiplink contentinfo complementary form toc".split()
+)
+_GOOD = frozenset("article content post entry story main body text articlebody prose markdown".split())
+#: Parts that make a name speak of something else than the element's own role, as in no-sidebar or tags-news.
+_MODIFIERS = frozenset("no not non has with without is layout template theme category cat tag tags topic status format style".split())
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _STOP = re.compile(r"[.!?;:,](?:\s|$)")
 _LEGAL = re.compile(r"©|\bcopyright\b|all rights reserved|cookie|privacy|subscribe|sign in|log in|advertis|sponsored", re.I)
 
@@ -61,7 +73,41 @@ _LEGAL = re.compile(r"©|\bcopyright\b|all rights reserved|cookie|privacy|subscr
 PAIRS = 3 * len(KINDS)
 _SIDE = frozenset(KINDS.index(k) for k in ("nav", "header", "footer", "aside", "form"))
 
-FEATURES = ["bias", *KINDS, "bad_name", "good_name", "has_text", "log_chars", "link_share", "stops", "legal", "short"]
+FEATURES = ["bias", *KINDS, "bad_name", "bad_part", "good_name", "has_text", "log_chars", "link_share", "stops", "legal", "short"]
+
+
+def _roles(attributes: str) -> tuple[bool, bool, bool]:
+    """Of a tag's names: whether one is a name of boilerplate, begins or ends with such a part, has a part of content."""
+    bad = part = good = False
+    for groups in _ATTRIBUTE.findall(attributes):
+        for name in _CAMEL.sub("-", "".join(groups)).lower().replace("_", "-").split():
+            parts = name.split("-")
+            good = good or not _GOOD.isdisjoint(parts)
+            if name.replace("-", "") in _BAD:
+                bad = True
+            elif _MODIFIERS.isdisjoint(parts):
+                part = part or parts[0] in _BAD or parts[-1] in _BAD
+    return bad, part, good
+
+
+def _next_tag(page: str, at: int) -> tuple[int, int, bool, str, str] | None:
+    """The next tag's start and end, whether it closes, its name (empty for comments and declarations) and its attributes.
+
+    A broken tag, one with a quote that isn't closed in it, ends at the next ``>``. Every step is linear: a quote is
+    searched up to the next one of its kind, where the next broken tag begins at the earliest.
+    """
+    m = _TAG.search(page, at)
+    if m is None:
+        return None
+    if m[2]:
+        rest = _REST.match(page, m.end())
+        end = rest.end() if rest else page.find(">", m.end()) + 1
+        return (m.start(), end, bool(m[1]), m[2].lower(), page[m.end() : end - 1]) if end else None
+    if m[0] == "<!--":
+        end = page.find("-->", m.end())
+        return m.start(), len(page) if end < 0 else end + 3, False, "", ""
+    end = page.find(">", m.end()) + 1
+    return (m.start(), end, False, "", "") if end else None
 
 
 @dataclass
@@ -78,13 +124,13 @@ class Page:
 def _unclosed(page: str, at: int, name: str) -> int:
     """Where an svg or a template that is never closed ends: at the end of the element that it is in; an svg at any block, too."""
     inside: list[str] = []
-    for m in _TOKEN.finditer(page, at):
-        tag = m[2].lower() if m[2] else ""
+    while (found := _next_tag(page, at)) is not None:
+        start, at, closes, tag, _ = found
         if tag not in _BLOCKS:
             continue
-        if name == "svg" or m[1] and tag not in inside:
-            return m.start()
-        if m[1]:
+        if name == "svg" or closes and tag not in inside:
+            return start
+        if closes:
             while inside.pop() != tag:
                 pass
         else:
@@ -93,12 +139,14 @@ def _unclosed(page: str, at: int, name: str) -> int:
 
 
 def parse(page: str) -> Page:
-    parent, kind, tags, names = [-1], [0], ["html"], [(False, False)]
+    parent, kind, tags, names = [-1], [0], ["html"], [(False, False, False)]
     runs: list[tuple[int, str]] = []
     linked: dict[int, int] = {}
     open_ = [0]
+    n_open: Counter[str] = Counter()
+    unended: set[str] = set()  # elements without an end tag in the rest of the page
     pieces: list[str] = []
-    link_chars, in_link, at, skip = 0, False, 0, 0
+    link_chars, in_link, at = 0, False, 0
 
     def flush() -> None:
         nonlocal pieces, link_chars
@@ -110,37 +158,42 @@ def parse(page: str) -> Page:
             pieces = []
         link_chars = 0
 
+    def close(i: int) -> None:
+        n_open.subtract(tags[x] for x in open_[i:])
+        del open_[i:]
+
     while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        found = _next_tag(page, at)
+        if found is None:
             rest = page[at:]
             cut = re.search(r"<[a-zA-Z/!]", rest)  # a tag that never ends
             pieces.append(rest[: cut.start()] if cut else rest)
             break
-        if m.start() > at:
-            pieces.append(page[at : m.start()])
+        start, end, closes, name, attributes = found
+        if start > at:
+            pieces.append(page[at:start])
             if in_link:
-                link_chars += m.start() - at
-        at = m.end()
-        name = m[2]
-        if name is None:
+                link_chars += start - at
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name in _SKIP:
-            if not m[1] and not m[3].endswith("/"):
-                if name == "head":  # it may not be closed: it ends at the body, too
-                    end = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
-                else:
-                    end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                if end:
-                    at = end.end()
-                elif name in ("template", "svg"):
+            if not closes and not attributes.endswith("/"):
+                skipped = None
+                if name not in unended:
+                    # a head may not be closed: it ends at the body, too
+                    skipped = re.compile(r"</head\s*>|(?=<body\b)" if name == "head" else rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                if skipped:
+                    at = skipped.end()
+                    continue
+                unended.add(name)
+                if name in ("template", "svg"):
                     at = _unclosed(page, at, name)
                 elif name in ("script", "style", "textarea", "title"):
                     break  # all that follows is in it
             continue
         if name == "a":
-            in_link = not m[1]
+            in_link = not closes
             continue
         if name in ("br", "wbr"):
             pieces.append(" " if name == "br" else "")
@@ -149,34 +202,33 @@ def parse(page: str) -> Page:
             continue
         flush()
         in_link = False
-        if m[1]:
-            for i in range(len(open_) - 1, 0, -1):
-                if tags[open_[i]] == name:
-                    del open_[i:]
-                    break
-                if tags[open_[i]] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "article", "body", "html"):
-                    break
+        if closes:
+            if n_open[name]:
+                for i in range(len(open_) - 1, 0, -1):
+                    if tags[open_[i]] == name:
+                        close(i)
+                        break
+                    if tags[open_[i]] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "article", "body", "html"):
+                        break
             continue
         if name in ("html", "body") or name in _VOID:
             continue
         if tags[open_[-1]] == "p" or (tags[open_[-1]][0] == "h" and tags[open_[-1]][1:].isdigit()):
-            open_.pop()  # a block ends a paragraph or a heading
-        if name in _CLOSES:
-            closes, within = _CLOSES[name]
+            close(len(open_) - 1)  # a block ends a paragraph or a heading
+        if name in _CLOSES and any(n_open[x] for x in _CLOSES[name][0]):
+            ends, within = _CLOSES[name]
             for i in range(len(open_) - 1, 0, -1):
                 if tags[open_[i]] in within:
                     break
-                if tags[open_[i]] in closes:
-                    del open_[i:]
+                if tags[open_[i]] in ends:
+                    close(i)
                     break
-        words = " ".join(x for g in _ATTRIBUTE.findall(m[3]) for x in g if x).lower().replace("_", "-") if m[3] else ""
-        split = words.replace("-", " ")
-        names.append((bool(words) and bool(_BAD.search(words) or _BAD.search(split)), bool(words) and bool(_GOOD.search(split))))
+        names.append(_roles(attributes) if attributes else (False, False, False))
         parent.append(open_[-1])
         tags.append(name)
         kind.append(KINDS.index(_KIND[name]))
         open_.append(len(tags) - 1)
-        skip += 1
+        n_open[name] += 1
     flush()
 
     own: dict[int, list[str]] = {}
@@ -187,11 +239,11 @@ def parse(page: str) -> Page:
         row = [0.0] * len(FEATURES)
         row[0] = row[1 + k] = 1.0
         base = 1 + len(KINDS)
-        row[base], row[base + 1] = float(names[i][0]), float(names[i][1])
+        row[base : base + 3] = map(float, names[i])
         if i in own:
             text = " ".join(own[i])
             n = len(text)
-            row[base + 2 :] = [1.0, np.log1p(n) / 8, min(1.0, linked.get(i, 0) / n), min(1.0, 20 * len(_STOP.findall(text)) / n), float(n < 400 and bool(_LEGAL.search(text))), float(n < 40)]
+            row[base + 3 :] = [1.0, np.log1p(n) / 8, min(1.0, linked.get(i, 0) / n), min(1.0, 20 * len(_STOP.findall(text)) / n), float(n < 400 and bool(_LEGAL.search(text))), float(n < 40)]
         rows.append(row)
     group = [2 if names[i][0] or k in _SIDE else 1 if k == KINDS.index("article") else 0 for i, k in enumerate(kind)]
     pair = [k + len(KINDS) * (group[p] if p >= 0 else 0) for k, p in zip(kind, parent)]
@@ -317,8 +369,18 @@ def labelled_pages(n: int = 600, seed: int = 5) -> Iterator[tuple[str, list[bool
         if rng.random() < 0.5:
             body.append(put(f'<div class="{rng.choice(["ad", "advert", "ads", "promo", "sponsored"])}">{prose()}</div>', 1, False))
         open_, close = rng.choice([("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ('<div id="main"><article class="post">', "</article></div>"), ('<div class="entry-content">', "</div>"), ("<section>", "</section>")])
+        if rng.random() < 0.2:  # names that speak of boilerplate elsewhere
+            name = rng.choice(["layout-no-sidebar", "content-with-sidebar", "post tags-news", "has-header", "theme-menu", "sidebar-right", "header-fixed", "single-widget"])
+            open_, close = rng.choice([(f'<article class="{name}">', "</article>"), (f'<div class="{name}"><article>', "</article></div>"), (f'<div class="{name}">', "</div>")])
+        if rng.random() < 0.3:
+            m = rng.randint(1, 3)
+            open_, close = "<div>" * m + open_, close + "</div>" * m
         body.append(open_)
-        body.append(put(f"<h1>{some(2, 12)}</h1>", 1, True))
+        title = f"<h1>{some(2, 12)}</h1>"
+        if rng.random() < 0.2:  # an article's own header is part of it
+            body.append(put(rng.choice(["<header>{}<p>{}</p></header>", "<header>{}<div>{}</div></header>"]).format(title, some(2, 8)), 2, True))
+        else:
+            body.append(put("<header>" + title + "</header>" if rng.random() < 0.1 else title, 1, True))
         for _ in range(rng.randint(1, rng.choice([6, 14, 40]))):
             r = rng.random()
             if r < 0.7:
@@ -342,6 +404,10 @@ def labelled_pages(n: int = 600, seed: int = 5) -> Iterator[tuple[str, list[bool
                 body.append(put(f'<aside class="related"><p>{prose()}</p></aside>', 1, False))
             elif r < 0.97:
                 body.append(put(f"<p>{some(1, 2)}.</p>", 1, True))
+            elif r < 0.98:
+                body.append(put(f'<figure><img src="x"><figcaption>{sentence()}</figcaption></figure>', 1, True))
+            elif r < 0.99:
+                body.append(put(f"<section><h2>{some(1, 6)}</h2><p>{prose(style)}</p></section>", 2, True))
             else:
                 body.append(put(f"<table><tr><td>{some(1, 3)}</td><td>{some(1, 3)}</td></tr></table>", 2, True))
         if rng.random() < 0.15:
