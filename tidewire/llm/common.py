@@ -108,3 +108,28 @@ def importable(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if here not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH", "")) if x)
+
+
+#: A key is hot if it has more than one in HOT_SHARE of all rows and over HOT_LEAST; so there are fewer than HOT_SHARE.
+HOT_SHARE, HOT_LEAST, SALTS = 2_000, 1_000, 32
+
+
+def hot_from(total: int) -> int:
+    """The rows of a key, of so many in all, from which it is hot."""
+    return max(HOT_LEAST, total // HOT_SHARE) + 1
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """left joined with right, the left rows of the keys in hot dealt to many tasks, each with those keys' right rows.
+
+    hot: rows with the column ``on``, distinct, of fewer than HOT_SHARE keys, so it is broadcast. Left rows are dealt
+    by their number, which a task that runs again gives again, as its input is a staged table.
+    """
+    if not hot.limit(1).count():
+        return left.join(right, on, how)
+    keys = hot.select(F.col(on).alias("hot_key"))
+    mark = lambda df: df.join(F.broadcast(keys), df[on] == F.col("hot_key"), "left")
+    is_hot = F.col("hot_key").isNotNull()
+    dealt = mark(left.withColumn("row_number", F.monotonically_increasing_id())).withColumn("salt", F.when(is_hot, F.pmod("row_number", F.lit(SALTS))).otherwise(0).cast("int")).drop("hot_key", "row_number")
+    spread = mark(right).withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot_key")
+    return dealt.join(spread, [on, "salt"], how).drop("salt")

@@ -3,7 +3,7 @@
 Two texts are linked if the sets of their five-word runs have a Jaccard similarity of 0.8 or more; a class is a
 connected set of linked texts, and its id the smallest doc_id in it. Equal texts are one text throughout.
 
-1. One pass gives every text a signature of 240 coordinates, hashed into 40 bands of 6: a pair at 0.8 shares some band
+1. One pass gives every text a signature of 240 coordinates (every run weighs 1, as the similarity is one of sets), hashed into 40 bands of 6: a pair at 0.8 shares some band
    but for one time in 200,000.
 2. Texts that share a band make a bucket. A bucket is never expanded into all its pairs. Each text has a centrality,
    the sum of the sizes of its buckets: the text that copies were made from shares buckets with most of them. The most
@@ -16,6 +16,8 @@ connected set of linked texts, and its id the smallest doc_id in it. Equal texts
 5. Links become classes by rounds of contraction: texts move to their best linked neighbour. Links and moves stay
    distributed, and every round is a table in the shared folder.
 
+Every join on a bucket, a text, a class or a key deals the rows of hot ones to many tasks (``salted_join``).
+
 Nulls and edge cases: a text of fewer than five words, but not none, has one run of all of them; texts without words
 are only equal to themselves; a null text is a class of its own, with its doc_id as class_id; a null doc_id sorts last
 and is a class id only where all of the class are null; repeated rows are in one class, as their texts are equal; an
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import importable, read_table, stage, text_key
+from .common import SALTS, hot_from, importable, read_table, salted_join, stage, text_key
 from .dartminhash import bands, signatures
 from .textkernel import batches_by_bytes, shingles, words
 
@@ -42,8 +44,6 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6
 #: Hubs of a bucket of up to SMALL texts, and of a larger one.
 HUBS, FEW_HUBS, SMALL = 7, 1, 64
-#: Shares of a large bucket's members.
-SALTS = 32
 #: Texts and runs of a block of a larger bucket's members.
 BLOCK, BLOCK_RUNS = 256, 500_000
 #: Above so many texts to compare their ids aren't broadcast.
@@ -82,8 +82,9 @@ def buckets(texts: DataFrame) -> DataFrame:
     """Rows (bucket, text, size, central) of the buckets of two texts or more, staged."""
     cells = texts.filter("bands IS NOT NULL").select("text", "bands").mapInArrow(_explode, "text bigint, bucket bigint")
     cells = stage(cells, "cells")
-    sizes = cells.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stage(cells.join(sizes, "bucket"), "shared")
+    sizes = stage(cells.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    hot = sizes.filter(F.col("size") >= hot_from(cells.count()))
+    shared = stage(salted_join(cells, sizes, "bucket", hot), "shared")
     central = shared.groupBy("text").agg(F.sum("size").alias("central"))
     return stage(shared.join(central, "text"), "buckets")
 
@@ -139,18 +140,22 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def run_sets(needed: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows (id, runs), the sorted set of runs of each text in needed, staged."""
     needed = stage(needed.join(texts.select("text", "doc", "key"), "text").select(F.col("text").alias("id"), "doc", "key"), "needed")
+    source = docs.select(F.col("doc_id").alias("doc"), "text")
     if needed.count() <= MAX_KEYS:
         needed = F.broadcast(needed)
-    source = docs.select(F.col("doc_id").alias("doc"), "text")
+    else:  # rows that repeat would meet in one task
+        source = source.dropDuplicates()
     found = needed.join(source, needed["doc"].eqNullSafe(source["doc"])).filter(text_key(source["text"]) == needed["key"]).select("id", source["text"])
     return stage(found.mapInArrow(_sets, "id bigint, runs binary").dropDuplicates(["id"]), "sets")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) at or over the similarity."""
-    sets = run_sets(pairs.select(F.explode(F.array("a", "b")).alias("text")).distinct(), texts, docs)
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("runs").alias("runs_a")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("runs").alias("runs_b")), "b")
+    degree = stage(pairs.select(F.explode(F.array("a", "b")).alias("text")).groupBy("text").agg(F.count("*").alias("n")), "degrees")
+    sets = run_sets(degree.select("text"), texts, docs)
+    hot = degree.filter(F.col("n") >= hot_from(pairs.count()))
+    left = salted_join(pairs, sets.select(F.col("id").alias("a"), F.col("runs").alias("runs_a")), "a", hot.withColumnRenamed("text", "a"))
+    both = salted_join(left, sets.select(F.col("id").alias("b"), F.col("runs").alias("runs_b")), "b", hot.withColumnRenamed("text", "b"))
     return stage(both.select("a", "b", "runs_a", "runs_b").mapInArrow(_similar, "a bigint, b bigint"), "links")
 
 
@@ -165,11 +170,13 @@ def blocks(members: DataFrame, hubs: DataFrame, label: DataFrame, texts: DataFra
     rest = stage(rest.select("bucket", "text", F.coalesce("root", "text").alias("root"), "n_runs"), "rest")
     by_class = rest.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n_runs").alias("runs"))
     open_ = by_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("runs").alias("runs"), F.max(F.struct("n", "root", "runs")).alias("main")).filter("classes > 1")
+    open_ = stage(open_, "open")
+    hot = open_.filter(F.col("n") >= hot_from(rest.count()))
     fill = lambda n, runs: F.ceil(F.greatest(n / BLOCK, runs / BLOCK_RUNS))
     whole = fill(F.col("n"), F.col("runs")) == 1
     first = F.when(whole, 1).otherwise(fill(F.col("n") - F.col("main.n"), F.col("runs") - F.col("main.runs"))).alias("first")
     last = F.when(whole, 0).otherwise(fill(F.col("main.n"), F.col("main.runs"))).alias("last")
-    dealt = rest.join(open_.select("bucket", F.when(~whole, F.col("main.root")).alias("main"), first, last), "bucket")
+    dealt = salted_join(rest, open_.select("bucket", F.when(~whole, F.col("main.root")).alias("main"), first, last), "bucket", hot)
     dealt = dealt.withColumn("in_main", F.coalesce(F.col("root") == F.col("main"), F.lit(False))).withColumn("hash", F.xxhash64("text"))
     dealt = dealt.withColumn("block", F.when(F.col("in_main"), F.expr("first + pmod(hash, last)")).otherwise(F.expr("pmod(hash, first)")))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, first + if(in_main, 0, last) - 1)")))
@@ -219,20 +226,26 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stage(links.select("a", "b").distinct(), "edges")
     moves: list[DataFrame] = []
-    while edges.limit(1).count():
+    while total := edges.count():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        degree = both.groupBy("a").agg(F.count("*").alias("links"))
+        degree = stage(both.groupBy("a").agg(F.count("*").alias("links")), "degrees")
+        hot = degree.filter(F.col("links") >= hot_from(total)).select("a")
+        hot_b = hot.withColumnRenamed("a", "b")
         rank = degree.select(F.col("a").alias("b"), F.struct((-F.col("links")).alias("links"), F.xxhash64(F.col("a"), F.lit(len(moves))).alias("hash"), F.col("a").alias("text")).alias("rank"))
-        best = both.join(rank, "b").groupBy("a").agg(F.min("rank").alias("best"))
+        best = salted_join(both, rank, "b", hot_b).groupBy("a").agg(F.min("rank").alias("best"))
         move = best.join(rank.withColumnRenamed("b", "a"), "a").select(F.col("a").alias("text"), F.least("best", "rank")["text"].alias("root"))
         move = stage(move, "moves")
-        moved = edges.join(move.select(F.col("text").alias("a"), F.col("root").alias("x")), "a").join(move.select(F.col("text").alias("b"), F.col("root").alias("y")), "b")
+        moved = salted_join(edges, move.select(F.col("text").alias("a"), F.col("root").alias("x")), "a", hot)
+        moved = salted_join(moved, move.select(F.col("text").alias("b"), F.col("root").alias("y")), "b", hot_b)
         edges = stage(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
         moves.append(move)
     label = moves[0] if moves else links.select(F.col("a").alias("text"), F.col("a").alias("root"))
     for move in moves[1:]:
-        label = label.join(move.select(F.col("text").alias("root"), F.col("root").alias("next")), "root", "left").select("text", F.coalesce("next", "root").alias("root"))
-    return stage(label, "labels")
+        sizes = stage(label.groupBy("root").agg(F.count("*").alias("n")), "sizes")
+        hot = sizes.filter(F.col("n") >= hot_from(label.count()))
+        label = salted_join(label, move.select(F.col("text").alias("root"), F.col("root").alias("next")), "root", hot, "left").select("text", F.coalesce("next", "root").alias("root"))
+        label = stage(label, "labels")
+    return label if moves[1:] else stage(label, "labels")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -254,24 +267,29 @@ def classes(docs: DataFrame) -> DataFrame:
         more = compare(rest, texts, docs)
         if more.limit(1).count():
             label = components(links.union(more))
-    named = texts.join(label, "text", "left").select("key", "doc", "n", F.coalesce("root", "text").alias("root"))
-    heads = named.groupBy("root").agg(F.min(F.struct(F.isnull("doc").alias("none"), "doc", F.hex("key").alias("key"))).alias("head"), F.sum("n").alias("class_size"))
-    by_key = named.join(heads, "root").select("key", F.col("head.doc").alias("class_id"), F.unhex("head.key").alias("class_key"), "class_size")
+    named = stage(texts.join(label, "text", "left").select("key", "doc", "n", F.coalesce("root", "text").alias("root")), "named")
+    heads = named.groupBy("root").agg(F.min(F.struct(F.isnull("doc").alias("none"), "doc", F.hex("key").alias("key"))).alias("head"), F.sum("n").alias("class_size"), F.count("*").alias("n_texts"))
+    heads = stage(heads, "heads")
+    hot = heads.filter(F.col("n_texts") >= hot_from(named.count())).select("root")
+    by_key = salted_join(named, heads, "root", hot).select("key", F.col("head.doc").alias("class_id"), F.unhex("head.key").alias("class_key"), "class_size", "n")
     by_key = stage(by_key, "classes")
-    out = signed.select("doc_id", "key").join(by_key, "key", "left")
-    alone = F.col("key").isNull()
-    return out.select("doc_id", "key", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_key", F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"))
+    rows = signed.select("doc_id", "key")
+    hot = by_key.filter(F.col("n") >= hot_from(signed.count())).select("key")
+    out = salted_join(rows.filter("key IS NOT NULL"), by_key, "key", hot).select("doc_id", "key", "class_id", "class_key", "class_size")
+    # null texts need no join, which would bring them into one task
+    alone = rows.filter("key IS NULL").select("doc_id", "key", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("class_key"), F.lit(1).cast("bigint").alias("class_size"))
+    return out.unionByName(alone)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs for each class, with all its columns: that of the text which stands for the class."""
     found = classes(docs)
     heads = stage(found.filter("key IS NOT NULL AND doc_id <=> class_id AND key = class_key").select("doc_id", "key").distinct(), "heads")
-    cols = docs.columns
-    tagged = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), docs["doc_id"].alias("doc"), text_key(docs["text"]).alias("k"))
-    kept = tagged.join(heads, tagged["doc"].eqNullSafe(heads["doc_id"]) & tagged["k"].eqNullSafe(heads["key"]))
-    nth = F.row_number().over(W.partitionBy(tagged["doc"], tagged["k"]).orderBy(F.lit(0)))
-    kept = kept.withColumn("nth", nth).filter("nth = 1").select("row.*")
+    # rows that repeat become one before they meet their head: the aggregate merges them in every task first
+    name = F.when(F.col("doc_id").isNull(), "").otherwise(F.concat(F.lit("="), F.col("doc_id").cast("string")))
+    tagged = docs.filter("text IS NOT NULL").select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), name.alias("who"), text_key(docs["text"]).alias("what"))
+    one = tagged.groupBy("who", "what").agg(F.first("row").alias("row"))
+    kept = one.join(heads.select(name.alias("who"), F.col("key").alias("what")), ["who", "what"]).select("row.*")
     return kept.unionByName(docs.filter("text IS NULL"))
 
 
