@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; every one but the last returns rows of documents with
 all their columns. Its result is written as Parquet and read again as the next one's docs.
+
+Nulls and edge cases: a null or empty text is scored like any other and goes if its score is low; null texts are no
+copies of each other and hold no passages; a null doc_id is kept; of rows that repeat one stays; an empty table of
+documents gives no rows, an empty benchmark removes none; columns of any name besides doc_id and text are carried through.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold windows of fewer than two benchmark items."""
+    """Documents without a passage of any benchmark item."""
     return decontamination.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
