@@ -115,6 +115,11 @@ def test_response_cache(api):
 def test_redaction():
     assert "ghp_" not in redact("key ghp_abcdefghijklmnop") and "[SCRUBBED]" in redact("Authorization: Bearer abcdefghijkl")
     assert redact_url("http://x/y?access_token=a&page=2") == "http://x/y?access_token=[REDACTED]&page=2"
+    for name in ("key", "access_key", "pass", "passwd", "api-key", "X-Signature", "client_secret", "session_id", "auth"):
+        assert redact_url(f"http://x/y?a=1&{name}=hush&b=2") == f"http://x/y?a=1&{name}=[REDACTED]&b=2"
+    for text in ('{"private_key": "hush"}', "pass=hush&a=1", "api_key: hush", '"refreshToken":"hush"'):
+        assert "hush" not in redact(text) and "[SCRUBBED]" in redact(text)
+    assert redact("page=2 monkey business keys: none") == "page=2 monkey business keys: none"
     with pytest.raises(EngineError, match="boom"), clean_errors():
         raise ValueError("boom\n  at somewhere")
 

@@ -28,7 +28,7 @@ class NoSuchTable(EngineError):
 class ApiError(EngineError):
     """An HTTP response that stands for a failure."""
 
-    REQUEST_IDS = ("x-request-id", "x-correlation-id", "x-amzn-requestid", "x-github-request-id", "x-trace-id", "request-id", "cf-ray")
+    REQUEST_IDS = ("x-request-id", "x-correlation-id", "correlation-id", "x-amzn-requestid", "x-github-request-id", "x-trace-id", "request-id", "cf-ray")
     PREVIEW, BODY = 200, 4096
 
     def __init__(self, method: str, url: str, status: int, reason: str, headers: dict[str, str], body: bytes):
@@ -46,9 +46,9 @@ _SECRETS = [
     re.compile(r"(?i)\b(bearer|basic|token)\s+[a-z0-9._~+/=-]{8,}"),
     re.compile(r"\b(?:gh[pousr]_|github_pat_|xox[abpors]-|sk-|sk_live_|sk_test_|AKIA|AIza)[A-Za-z0-9_-]{8,}"),
     re.compile(r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*"),
-    re.compile(r"""(?i)("?(?:access_?token|refresh_?token|token|client_?secret|password|api_?key|secret)"?\s*[:=]\s*)"?[^"&\s,}]+"?"""),
+    re.compile(r"""(?i)("?(?:(?:[\w-]*[_-])?(?:token|secret|key|pass(?:word|wd|phrase)?|pwd)|accesstoken|refreshtoken|apikey|clientsecret)"?\s*[:=]\s*)"?[^"&\s,}]+"?"""),
 ]
-_SENSITIVE = re.compile(r"(?i)token|secret|passw|api[-_]?key|auth|signature|credential|session")
+_SENSITIVE = re.compile(r"(?i)token|secret|pass|pwd|key|auth|signature|credential|session")
 
 
 def redact(text: str) -> str:

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-import os
 import re
-import shutil
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -19,6 +16,7 @@ from pyspark.sql import functions as F
 from ..errors import EngineError
 from ..operators.explode import quoted, view_sql
 from ..session import prepare
+from ..sources import metrics
 from ..sources import config as configs
 from ..sources import spec as specs
 from ..sources.config import Source
@@ -243,19 +241,14 @@ class Engine:
     @contextmanager
     def conversions(self, table: str) -> Iterator[tuple[DataFrame, dict[str, int]]]:
         """A table, and counts of converted values and of those made NULL, filled in when the block ends."""
-        shared = (self.spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")
-        if shared.startswith("/"):
-            os.makedirs(shared, exist_ok=True)
-        folder = tempfile.mkdtemp(prefix="tidewire-metrics-", dir=shared if shared.startswith("/") else None)
+        folder = metrics.new_folder(self.spark.conf.get("spark.checkpoint.dir", None))
         counts = {"converted": 0, "nulled": 0}
         try:
             yield self.table(table, options={"_metrics": folder}), counts
-            for name in os.listdir(folder):
-                with open(os.path.join(folder, name), encoding="utf-8") as f:
-                    found = json.load(f)
+            for found in metrics.read(folder):
                 for k in counts:
                     counts[k] += sum(found[k].values())
         finally:
-            shutil.rmtree(folder, ignore_errors=True)
+            metrics.drop(folder)
 
 

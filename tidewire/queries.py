@@ -188,7 +188,7 @@ def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = {"openapi": "3.0.0", "paths": {"/messy": {"get": {"responses": {"200": {"content": {"application/json": {"schema": {"type": "array", "items": {"type": "object", "properties": props}}}}}}}}}}
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     source = configs.of({"openapi": "mock", "base-url": m.url, "tables": {"messy": {"endpoint": "/messy"}}})
-    return _times(Engine(spark, f"messy_{abs(hash((spark.sparkContext.applicationId, sf_dir))) % 10**8}", source, spec).table("messy"))
+    return _times(Engine(spark, f"messy_{abs(hash((spark.sparkContext.applicationId, sf_dir))) % 10**8}", source, spec).table("messy").withColumnRenamed("at", "seen_at"))
 
 
 def _one_table(spark: SparkSession, name: str, text: str, schema: dict, base_url: str) -> Engine:
@@ -273,7 +273,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "p4_scan_offset_orders": (_sql(f"SELECT {ORDERS} FROM api.orders", page=4000), f"SELECT {ORDERS} FROM orders"),
     "p8_scan_link_supplier": (_sql("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM api.supplier"), "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"),
     "v1_column_pruning": (_sql("SELECT o_orderstatus, count(*) AS n FROM api.orders GROUP BY o_orderstatus"), "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"),
-    "v4_coerce_messy": (_messy, None),
+    "v4_coerce_messy": (_messy, "SELECT CAST(id AS BIGINT) AS id, CAST(small AS INTEGER) AS small, flag, CAST(seen AS TIMESTAMP) AS seen_at FROM (VALUES (42, 1, true, '2024-01-02 03:04:05'), (7, NULL, true, NULL), (NULL, 2, NULL, '2024-01-02 03:04:05'), (3, -5, NULL, NULL)) AS t(id, small, flag, seen)"),
     "v11_variant_extract": (_sql("SELECT variant_get(value, '$.event_id', 'bigint') AS event_id, variant_get(value, '$.event_type', 'string') AS event_type, round(variant_get(value, '$.value', 'double'), 6) AS value FROM api.events", mode="variant"), "SELECT event_id, event_type, round(value, 6) AS value FROM events"),
     "f1_filter_eq": (_sql("SELECT c_custkey, c_mktsegment FROM api.customer WHERE c_mktsegment = 'BUILDING'"), "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'"),
     "f1_filter_neq": (_sql("SELECT c_custkey FROM api.customer WHERE c_mktsegment <> 'BUILDING'"), "SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'"),
@@ -332,11 +332,15 @@ QUERIES["j1_join_nested"] = (QUERIES["j1_join_nested"][0], "SELECT c_custkey, o_
 QUERIES["a3_sum"] = (lambda s, d: _sql("SELECT sum(o_totalprice) AS total FROM api.orders WHERE o_orderstatus = 'F'")(s, d).select(F.round("total", 2).alias("total")), QUERIES["a3_sum"][1])
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: q for k, (q, _) in QUERIES.items()}
+def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    from .feature_queries import QUERIES as features  # they are made with this module's helpers
 
+    return QUERIES | features
 
-def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in QUERIES.items() if sql}
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: q for k, (q, _) in _all().items()}
 
+
+def oracle_sql() -> dict[str, str]:
+    return {k: sql for k, (_, sql) in _all().items() if sql}

@@ -11,7 +11,6 @@ import datetime as dt
 import json
 import logging
 import os
-import random
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from typing import Any
@@ -27,6 +26,7 @@ from ..operators.joins import child_records, parent_keys
 from ..streaming.checkpoints import Store
 from ..streaming.times import TimeFormat, bound, iso
 from . import config as configs
+from . import metrics
 from . import spec as specs
 from .config import Source
 from .http import Client, close_quietly
@@ -243,9 +243,7 @@ class RestReader(DataSourceReader):
         for name, n in counts.nulled.items():
             log.warning("table %s: %d values of %s don't fit its type and are NULL, the first %s", self.spec.name, n, name, counts.first[name])
         if self.metrics:
-            os.makedirs(self.metrics, exist_ok=True)
-            with open(os.path.join(self.metrics, f"{os.getpid()}-{random.getrandbits(48):012x}.json"), "w", encoding="utf-8") as f:
-                json.dump({"table": self.spec.name, "converted": counts.converted, "nulled": counts.nulled}, f)
+            metrics.write(self.metrics, {"table": self.spec.name, "converted": counts.converted, "nulled": counts.nulled})
 
     def _raw(self, records: list) -> bool:
         """Whether a text column would show numbers, whose source text is needed then."""
