@@ -51,6 +51,24 @@ def test_round_trip(spark, rows, least):
     assert keys == sorted(keys)
 
 
+def test_archives_are_bounded(spark, monkeypatch):
+    """Sizes spread over four orders, large pages side by side: no archive is much over SPREAD times its size, or one record."""
+    import glob
+    import os
+
+    sizes = [200 + i for i in range(300)] + [9_000 + i for i in range(40)] + [60_000 + i for i in range(30)] + [900_000]
+    rows = [(i, f"http://x.org/{i}", "z" * n) for i, n in enumerate(sizes)] + [(1000, None, "z" * 60_000)]
+    path = staged_path(spark, "archives")
+    monkeypatch.setattr(op, "MAX_DIGESTS", 0)  # digests that aren't broadcast give the same
+    op.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), path, archive_bytes=20_000)
+    files = [os.path.getsize(f) for f in glob.glob(path.removeprefix("file://") + "/*.txt")]
+    assert max(x for x in files if x < 900_000) <= 4 * 20_000 + 2 * 61_000 and sum(x > 900_000 for x in files) == 1 and max(files) < 902_000
+    monkeypatch.setattr(op, "MAX_RANGES", 3)
+    out = op.merge_index(op.read_archives(spark, path), rows=20).collect()
+    assert sorted(((int(op._id(r.record.encode())), r.payload_bytes, r.payload_digest, r.record_type, int(r.refers_to) if r.refers_to else None) for r in out), key=repr) == brute(rows)
+    assert sorted(r.position for r in out) == list(range(len(rows)))
+
+
 def test_query_columns(spark, tmp_path, rows):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     assert got(op.op9_warc(spark, str(tmp_path)), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == brute(rows)

@@ -7,8 +7,8 @@ text writer, so archives land in any store that Spark can write to, under its co
 Reading: every archive is parsed record by record; payload digests are computed again from the bytes, and a revisit
 takes its length from the HTTP header that it keeps, as the WARC standard has it.
 
-Index: an archive's captures, sorted by URL key, time and record, are a run. Every run gives evenly spaced keys; from
-these the index is cut into ranges. A range takes its slice of every run and merges the slices with a loser tree; with
+Index: an archive's captures, sorted by URL key, time and record, are a run. A sample of the runs' keys, by a hash of
+their places, cuts the index into ranges: at most ``MAX_RANGES``, so what the driver sees is bounded. A range takes its slice of every run and merges the slices with a loser tree; with
 the sizes of the ranges before it, this numbers all captures globally. A range covers (URL key, time, record), so
 even a URL with a third of all captures is spread over many ranges.
 
@@ -31,15 +31,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import importable, read_table, stage, staged_path
+from .common import hot_from, importable, read_table, salted_join, stage, staged_path
 
 LEAST = 0
-#: Bytes of an archive, captures of an index range, and keys sampled over all runs, roughly.
-ARCHIVE, RANGE, KEYS = 24 << 20, 20_000, 20_000
+#: Bytes of an archive, roughly; payloads of an archive are at most SPREAD times as long as their mean.
+ARCHIVE, SPREAD = 24 << 20, 4
+#: Captures of an index range, the most ranges, and the keys sampled for each: so the driver sees at most 80,000 keys.
+RANGE, MAX_RANGES, KEYS = 20_000, 10_000, 8
 #: Above so many payloads that occur more than once their digests aren't broadcast.
 MAX_DIGESTS = 500_000
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _CRLF = "\r\n"
+#: Bytes of a record besides its payload, roughly.
+HEAD = 600
 
 
 def base32_of_hex(digest: Column) -> Column:
@@ -56,12 +60,12 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, archive_byte
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("string").alias("id"), "page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("bigint").alias("n"), F.sha1(payload.cast("binary")).alias("sha"))
     facts = stage(rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"), F.min(F.isnull("page_id")).alias("no_id")), "payloads")
-    total = facts.agg(F.sum(F.col("n") * F.col("copies")), F.sum("copies")).first()
-    mean = max(1, (total[0] or 0) // max(1, total[1] or 0)) + 600
     double = facts.filter((F.col("copies") > 1) & (F.col("n") >= least)).select("sha", "first", "no_id")
     if double.count() <= MAX_DIGESTS:
-        double = F.broadcast(double)
-    rows = rows.join(double, "sha", "left")
+        rows = rows.join(F.broadcast(double), "sha", "left")
+    else:
+        hot = facts.filter(F.col("copies") >= hot_from(facts.agg(F.sum("copies")).first()[0])).select("sha")
+        rows = salted_join(rows, double, "sha", hot, "left")
     revisit = F.coalesce(~F.col("no_id") & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
 
     def record(page_id: Column) -> Column:
@@ -84,8 +88,16 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, archive_byte
         F.when(revisit, F.concat(F.lit(f"{_CRLF}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{_CRLF}WARC-Refers-To: "), record(F.col("first")))).otherwise(F.lit("")),
         F.lit(f"{_CRLF}Content-Type: application/http; msgtype=response{_CRLF}Content-Length: "), F.octet_length(block).cast("string"), F.lit(_CRLF * 2),
     )
-    out = rows.select(F.concat(head, block).alias("value"))
-    out.write.option("lineSep", _CRLF * 2).option("maxRecordsPerFile", max(1, archive_bytes // mean)).text(path)
+    out = rows.select("n", F.concat(head, block).alias("value"))
+    # in turns: payloads up to SPREAD times the mean, then those of the longer ones up to SPREAD times their mean, ...
+    # so an archive has at most about SPREAD * archive_bytes, however the sizes are spread
+    over, writer = -1, None
+    while (found := facts.filter(F.col("n") > over).agg(F.sum(F.col("n") * F.col("copies")), F.sum("copies"), F.max("n")).first())[1] or writer is None:
+        mean = (found[0] or 0) // max(1, found[1] or 0) + HEAD
+        most = max(SPREAD * mean, over + 1)
+        writer = out.filter((F.col("n") > over) & (F.col("n") <= most)).select("value").write
+        writer.mode("append").option("lineSep", _CRLF * 2).option("maxRecordsPerFile", max(1, archive_bytes // mean)).text(path)
+        over = most
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[bytes, bytes], bytes]]:
@@ -199,10 +211,11 @@ def _merge(table: pa.Table) -> pa.Table:
 def merge_index(captures: DataFrame, rows: int = RANGE) -> DataFrame:
     """The captures with their ``position`` in the order (url_key, captured, record) over all archives, from 0."""
     n = captures.count()
-    ranges = max(1, -(-n // rows))
-    step = max(1, n // max(KEYS, 8 * ranges))
-    sample = captures.filter(F.col("nth") % step == 0).select("url_key", "captured", "record").orderBy("url_key", "captured", "record").collect() if ranges > 1 else []
-    cuts = sorted({tuple(sample[len(sample) * i // ranges]) for i in range(1, ranges)}) if sample else []
+    ranges = min(MAX_RANGES, max(1, -(-n // rows)))
+    step = max(1, n // (KEYS * ranges))
+    sampled = F.pmod(F.xxhash64("archive", "nth"), F.lit(step)) == 0
+    sample = sorted(tuple(r) for r in captures.filter(sampled).select("url_key", "captured", "record").collect()) if ranges > 1 else []
+    cuts = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +227,7 @@ def merge_index(captures: DataFrame, rows: int = RANGE) -> DataFrame:
     before = F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("range", before.alias("before"))
     merged = dealt.groupBy("range").applyInArrow(_merge, f"{_CAPTURE}, range int, within bigint")
-    return merged.join(F.broadcast(starts) if ranges <= MAX_DIGESTS else starts, "range").withColumn("position", F.col("before") + F.col("within")).drop("before", "within", "range")
+    return merged.join(F.broadcast(starts), "range").withColumn("position", F.col("before") + F.col("within")).drop("before", "within", "range")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
