@@ -133,8 +133,9 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     queries = rows.filter(F.col("vec_id") % every == 0)
     n, m = rows.count(), queries.count()
     n_blocks, n_query_blocks = max(1, -(-n // BLOCK)), max(1, -(-m // QUERY_BLOCK))
-    if n_blocks * n_query_blocks < 4 * 6:
-        n_blocks = min(max(1, n // 2048), 24)
+    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    if n_blocks * n_query_blocks < tasks:  # smaller blocks, so that every core has some
+        n_blocks = max(n_blocks, min(max(1, n // 2048), tasks))
 
     def block(count: int) -> F.Column:
         return F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
