@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewire.llm import lm as op
@@ -61,6 +62,52 @@ def test_against_brute_force(docs, rows, filter_bytes):
     assert min(per_token) > -1e-9 and np.average(per_token, weights=[r[2] for r in want]) < 0.08
 
 
+def test_common_contexts(docs, rows):
+    """With ranges this small, most contexts of the corpus and the end token are hot."""
+    found = [tuple(r) for r in op.score(docs, filter_bytes=20_000, range_pairs=300).collect()]
+    want = brute(rows, True)
+    key = lambda r: (repr(r[0]), r[2], round(r[5], 6))
+    found.sort(key=key)
+    want.sort(key=key)
+    assert [r[:5] for r in found] == [r[:5] for r in want]
+    # followers of hot contexts are counted exactly, those of others as levels hold them
+    per_token = [(a[6] - b[6]) / b[2] for a, b in zip(found, want)]
+    assert np.average(np.abs(per_token), weights=[r[2] for r in want]) < 0.08
+
+
+def test_hot_context_is_dealt_out():
+    """A token before 20,000 different ones, in three chunks that share some: no range has many of its pairs."""
+    rng = np.random.default_rng(3)
+    hot, others = op.U64(12345), np.sort(rng.integers(1 << 20, 2**63, 20_000, dtype=np.uint64)) << op.U64(1)
+    bits, rows = 6, []
+    for a, b in ((0, 9_000), (6_000, 15_000), (14_000, 20_000)):
+        keys = np.unique(np.concatenate([others[a:b], [hot, op.END]]))
+        text = np.stack([np.full(b - a, np.searchsorted(keys, hot)), np.searchsorted(keys, others[a:b])], 1).ravel()
+        code = np.append(text, np.searchsorted(keys, op.END)).astype(np.uint32)
+        counts = np.where(keys == hot, 24_000, 2).astype(np.int64)
+        batch = pa.RecordBatch.from_pylist([{"held": [False], "size": [len(code)], "keys": keys.tobytes(), "counts": op._pack(counts), "codes": op._pack(code)}])
+        for out in op._pairs(bits, 1_000)(iter([batch])):
+            rows += out.to_pylist()
+    names = ("part", "contexts", "runs", "pairs", "counts")
+    total, found = 0, {}
+    for part in {r["part"] for r in rows}:
+        table = pa.Table.from_pylist([r for r in rows if r["part"] == part], pa.schema([("part", pa.int32()), *[(n, pa.binary()) for n in names[1:]]]))
+        assert sum(len(x) // 5 for x in table["pairs"].to_pylist()) < 2 * 45_000 / 2**bits
+        got = op._filter(table).to_pylist()[0]
+        assert len(got["hot"]) <= 1
+        total += sum(h["followers"] for h in got["hot"])
+        found[part] = got["words"]
+    assert total == 20_000
+    shard = op.Filters(bits, 0, found | {2**bits - 1: found.get(2**bits - 1, b"")}, {int(hot): total})
+    u = np.full(len(others), hot)
+    pair = op._pair(u, others)
+    to = op._route(u, pair, np.ones(len(u), bool), bits)
+    seen = np.bincount(np.concatenate([np.arange(a, b) for a, b in ((0, 9_000), (6_000, 15_000), (14_000, 20_000))]))
+    read = shard.count(to, pair & op.NARROW)
+    assert (read >= seen).all() and (read == seen).mean() > 0.95
+    assert (shard.followers(u[:3]) == 20_000).all()
+
+
 def test_learns_copies(docs, rows):
     found = op.score(docs).collect()
     long = [r for r in found if r.held_out and r.n_tokens > 20 and r.n_known > 0.9 * r.n_tokens]

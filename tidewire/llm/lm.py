@@ -6,9 +6,12 @@
    tokens' counts: so N, V and every unigram count are exact, and no task or broadcast holds all tokens.
 3. Pairs of tokens go, in ranges of the hash of their first token, to tasks that count them and build a Bloom filter
    for the range: a count c is held as the entries (pair, 1) to (pair, 1 + floor(log c / log BASE)), and likewise the
-   number of distinct followers of a token. A filter's size follows its number of entries.
+   number of distinct followers of a token. A filter's size follows its number of entries. A first token with more
+   training tokens than a range should hold is hot: its pairs are dealt by their own hash, and its followers, counted
+   range by range, are added up and broadcast beside the filter. A token's training count, which every chunk has by
+   then, tells whether it is hot, so no task holds all pairs of a common token, and there are at most ``HOT`` hot ones.
 4. Filters are broadcast in shards of at most ``FILTER_BYTES``. For each shard a pass over the chunks, by now staged
-   with their tokens' counts, adds up the tokens whose context is in it: memory stays bounded whatever the corpus, and
+   with their tokens' counts, adds up the tokens whose pair is in its ranges: memory stays bounded whatever the corpus, and
    a pass shuffles nothing. A count is read back by probing level after level until one is missing. The probability
    interpolates the pair with the unigram by absolute discounting: max(c(u,w) - D, 0) / c(u) + D T(u) / c(u) * p(w),
    with p(w) the add-0.1 unigram.
@@ -42,6 +45,8 @@ BITS, PROBES = 10, 5
 CHUNK, RANGE, FILTER_BYTES = 8 << 20, 1 << 20, 52 << 20
 #: Bits of a pair within its range: at a million pairs a range, fewer than one of them is taken for another.
 NARROW = U64((1 << 40) - 1)
+#: Bits of a context within its range, and the bit that marks a hot one; a token is hot with over one in HOT of all.
+CONTEXT, IS_HOT, HOT = U64((1 << 39) - 1), U64(1 << 39), 1 << 16
 #: Tokens that are looked up at once.
 PIECE = 1 << 17
 END = U64(mix_int(0x656E64))
@@ -126,42 +131,59 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"], "part": table["part"], "total": pa.array(out, pa.binary()), "n": pa.array([n * f for f in first], pa.int64()), "v": pa.array([v * f for f in first], pa.int64())})
 
 
-def _context(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The token before each token; the end before a document's first."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[bounds[:-1]] = END
-    return before
+def _context(code: np.ndarray, keys: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of each token, the place of the token before it among the keys; before a document's first stands the end."""
+    place = np.empty(len(code), np.uint32)
+    place[1:] = code[:-1]
+    place[np.concatenate([[0], np.cumsum(size)])[:-1]] = np.searchsorted(keys, END)
+    return place
 
 
 def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(u * _PAIR + w)
 
 
-def _pairs(bits: int):
+def hot_over(n: int, range_pairs: int) -> int:
+    """The training count above which a token is hot, so that of n tokens fewer than HOT are."""
+    return max(range_pairs, n // HOT)
+
+
+def _route(u: np.ndarray, pair: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes whose first bits are a pair's range: its context's, or if that is hot, its own, with the context after them."""
+    if not hot.any():
+        return u
+    top = ~U64(0) << U64(64 - bits)
+    return np.where(hot, (pair & top) | (u >> U64(bits)), u)
+
+
+def _pairs(bits: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
                 size, held = np.array(get("size"), np.int64), np.array(get("held"), bool)
-                tokens = np.frombuffer(get("keys"), U64)[_unpack(get("codes"), np.uint32)]
-                before = _context(tokens, np.concatenate([[0], np.cumsum(size)]))
+                keys, code = np.frombuffer(get("keys"), U64), _unpack(get("codes"), np.uint32)
                 use = np.repeat(~held, size)
-                u, pair = before[use], _pair(before[use], tokens[use])
+                place = _context(code, keys, size)[use]
+                hot = (_unpack(get("counts"), np.int64) > limit)[place]
+                u = keys[place]
+                pair = _pair(u, keys[code[use]])
                 order = np.argsort(pair)
-                pair, u = pair[order], u[order]
+                pair, u, hot = pair[order], u[order], hot[order]
                 first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
                 count = np.diff(np.concatenate([first, [len(pair)]])).astype(np.uint32)
-                pair, u = pair[first], u[first]
-                order = np.argsort(u, kind="stable")
-                pair, u, count = pair[order], u[order], count[order]
-                at = _ranges(u, bits)
+                pair, u, hot = pair[first], u[first], hot[first]
+                to = _route(u, pair, hot, bits)
+                order = np.argsort(to, kind="stable")
+                pair, count = pair[order], count[order]
+                u = ((u & CONTEXT) | np.where(hot, IS_HOT, U64(0)))[order]
+                at = _ranges(to[order], bits)
                 rows = []
                 for p, (a, b) in enumerate(zip(at, at[1:])):
                     if b > a:
                         head = np.flatnonzero(np.concatenate([[True], u[a + 1 : b] != u[a : b - 1]]))
                         runs = np.diff(np.concatenate([head, [b - a]])).astype(np.uint32)
-                        rows.append((p, _pack40(u[a:b][head] & NARROW), _pack(runs), _pack40(pair[a:b] & NARROW), _pack(count[a:b])))
+                        rows.append((p, _pack40(u[a:b][head]), _pack(runs), _pack40(pair[a:b] & NARROW), _pack(count[a:b])))
                 names = ("part", "contexts", "runs", "pairs", "counts")
                 yield pa.RecordBatch.from_pydict({n: pa.array(v, t) for n, v, t in zip(names, list(zip(*rows)) or [()] * 5, (pa.int32(), *[pa.binary()] * 4))})
         release()
@@ -207,7 +229,7 @@ def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _filter(table: pa.Table) -> pa.Table:
-    """The filter of a range of contexts."""
+    """The filter of a range, and its hot contexts with their followers in this range."""
     u = np.concatenate([np.repeat(_unpack40(c), _unpack(r, np.uint32)) for c, r in zip(table["contexts"].to_pylist(), table["runs"].to_pylist())])
     pair = np.concatenate([_unpack40(x) for x in table["pairs"].to_pylist()])
     count = np.concatenate([_unpack(x, np.uint32) for x in table["counts"].to_pylist()])
@@ -216,27 +238,39 @@ def _filter(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     count = np.add.reduceat(count[order].astype(np.int64), first)
     contexts, followers = np.unique(u[order][first], return_counts=True)
-    words_ = build_filter(np.concatenate([pair[first], mix(contexts ^ _FOLLOWERS)]), np.concatenate([count, followers]))
-    return pa.table({"part": table["part"].slice(0, 1), "n_words": pa.array([len(words_)], pa.int64()), "words": pa.array([words_.tobytes()], pa.binary())})
+    hot = contexts >= IS_HOT
+    words_ = build_filter(np.concatenate([pair[first], mix(contexts[~hot] ^ _FOLLOWERS)]), np.concatenate([count, followers[~hot]]))
+    hot_rows = [{"context": c, "followers": f} for c, f in zip((contexts[hot] & CONTEXT).tolist(), followers[hot].tolist())]
+    return pa.table({
+        "part": table["part"].slice(0, 1), "n_words": pa.array([len(words_)], pa.int64()), "words": pa.array([words_.tobytes()], pa.binary()),
+        "hot": pa.array([hot_rows], pa.list_(pa.struct([("context", pa.int64()), ("followers", pa.int64())]))),
+    })
 
 
 class Filters:
-    """The filters of a run of ranges, side by side."""
+    """The filters of a run of ranges, side by side, and the followers of all hot contexts."""
 
-    def __init__(self, bits: int, first: int, parts: dict[int, bytes]):
+    def __init__(self, bits: int, first: int, parts: dict[int, bytes], hot: dict[int, int] | None = None):
+        hot = hot or {}
+        self.hot_contexts = np.array(sorted(hot), U64)
+        self.hot_followers = np.array([hot[c] for c in sorted(hot)], float)
         self.bits, self.first, self.end = bits, first, first + max(parts, default=first) - first + 1
         arrays = [np.frombuffer(parts.get(p, b""), U64) for p in range(first, self.end)]
         self.sizes = np.array([len(a) for a in arrays], U64)
         self.starts = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])[:-1].astype(np.int64)
         self.words = np.concatenate([*arrays, np.zeros(1, U64)])
 
-    def has(self, context: np.ndarray) -> np.ndarray:
-        part = (context >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(context), np.int64)
+    def has(self, route: np.ndarray) -> np.ndarray:
+        part = (route >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(route), np.int64)
         return (part >= self.first) & (part < self.end)
 
-    def count(self, context: np.ndarray, key: np.ndarray) -> np.ndarray:
+    def followers(self, context: np.ndarray) -> np.ndarray:
+        """The numbers of distinct followers of hot contexts."""
+        return self.hot_followers[np.searchsorted(self.hot_contexts, context & CONTEXT)]
+
+    def count(self, route: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The counts of keys, as the levels that are found one after another have it."""
-        part = ((context >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(context), np.int64)) - self.first
+        part = ((route >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(route), np.int64)) - self.first
         size, start = self.sizes[part], self.starts[part]
         found = np.zeros(len(key), np.int64)
         todo = np.flatnonzero(size > 0)
@@ -256,7 +290,7 @@ def _with_counts(chunk: pa.Table, totals: pa.Table) -> pa.Table:
     return chunk.set_column(chunk.schema.get_field_index("counts"), "counts", pa.array(count, pa.binary()))
 
 
-def _score(kind: pa.DataType, n: int, v: int, filters):
+def _score(kind: pa.DataType, n: int, v: int, limit: int, filters):
     """Scores chunks with a shard of the filter; the base too, if the shard is the first."""
 
     def one(chunk: dict) -> pa.RecordBatch:
@@ -265,21 +299,25 @@ def _score(kind: pa.DataType, n: int, v: int, filters):
         size, held = np.array(chunk["size"], np.int64), np.array(chunk["held"], bool)
         docs = np.repeat(np.arange(len(size)), size)
         logs = np.log10((count + ALPHA) / (n + ALPHA * (v + 1)))
-        place = np.empty(len(code), np.uint32)  # of each token's context among the keys
-        place[1:] = code[:-1]
-        place[np.concatenate([[0], np.cumsum(size)])[:-1]] = np.searchsorted(keys, END)
-        here = np.flatnonzero(shard.has(keys))
+        place = _context(code, keys, size)
+        hot = count > limit
+        mine = shard.has(keys) | hot
+        here = np.flatnonzero(mine & ~hot)
         followers = np.zeros(len(keys))
-        followers[here] = shard.count(keys[here], mix((keys[here] & NARROW) ^ _FOLLOWERS))
-        mine = np.zeros(len(keys), bool)
-        mine[here] = True
+        followers[here] = shard.count(keys[here], mix((keys[here] & CONTEXT) ^ _FOLLOWERS))
+        followers[hot] = shard.followers(keys[hot])
         score = np.zeros(len(size))
         for at in range(0, len(code), PIECE):
             u = place[at : at + PIECE]
             some = mine[u]
             u, w, doc = u[some], code[at : at + PIECE][some], docs[at : at + PIECE][some]
+            pair = _pair(keys[u], keys[w])
+            to = _route(keys[u], pair, hot[u], shard.bits)
+            some = shard.has(to)
+            if not some.all():
+                u, w, doc, pair, to = u[some], w[some], doc[some], pair[some], to[some]
             p, seen, f = 10.0 ** logs[w], count[u].astype(float), followers[u]
-            c = np.minimum(shard.count(keys[u], _pair(keys[u], keys[w]) & NARROW), seen)
+            c = np.minimum(shard.count(to, pair & NARROW), seen)
             total = np.maximum(seen, 1)
             rest = np.where(f > 0, np.minimum(1.0, DISCOUNT * f / total), 1.0)
             smooth = np.maximum(c - DISCOUNT, 0) / total + rest * p
@@ -319,15 +357,17 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
     forget_shuffles(spark)
     facts = totals.agg(F.sum("n"), F.sum("v")).first()
     n, v = facts[0] or 0, facts[1] or 0
+    limit = hot_over(n, range_pairs)
 
     shape = f"block bigint, docs array<{id_type}>, held array<boolean>, size array<bigint>, keys binary, counts binary, codes binary"
     counted = stage(chunks.groupBy("block").cogroup(totals.select("block", "part", "total").groupBy("block")).applyInArrow(_with_counts, shape), "counted")
     unstage(chunks)
 
-    pairs = counted.select("held", "size", "keys", "codes").mapInArrow(_pairs(bits), "part int, contexts binary, runs binary, pairs binary, counts binary")
-    filters = stage(pairs.groupBy("part").applyInArrow(_filter, "part int, n_words bigint, words binary"), "filters")
+    pairs = counted.select("held", "size", "keys", "counts", "codes").mapInArrow(_pairs(bits, limit), "part int, contexts binary, runs binary, pairs binary, counts binary")
+    filters = stage(pairs.groupBy("part").applyInArrow(_filter, "part int, n_words bigint, words binary, hot array<struct<context:bigint,followers:bigint>>"), "filters")
     forget_shuffles(spark)
     sizes = {r["part"]: 8 * r["n_words"] for r in filters.select("part", "n_words").collect()}
+    hot = dict(filters.select(F.inline("hot")).groupBy("context").agg(F.sum("followers")).collect())  # fewer than HOT rows
     shards, at = [], 0
     while at < 1 << bits:
         end, total = at, 0
@@ -340,10 +380,10 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int =
     fields = f"block bigint, nth bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     for first, end in shards:
         got = filters.filter(F.col("part").between(first, end - 1)).select("part", "words").toArrow()
-        shard = Filters(bits, first, dict(zip(got["part"].to_pylist(), got["words"].to_pylist())) | ({end - 1: b""} if end - 1 not in got["part"].to_pylist() else {}))
+        shard = Filters(bits, first, dict(zip(got["part"].to_pylist(), got["words"].to_pylist())) | ({end - 1: b""} if end - 1 not in got["part"].to_pylist() else {}), hot)
         del got
         value = spark.sparkContext.broadcast(shard)
-        part = stage(counted.mapInArrow(_score(kind, n, v, value), fields), "scores")
+        part = stage(counted.mapInArrow(_score(kind, n, v, limit, value), fields), "scores")
         value.destroy()
         del shard
         out = part if out is None else out.unionByName(part)
