@@ -167,7 +167,7 @@ def _whole(kind: str, values: list) -> pa.Array | None:
         if kind == "double" and types <= {Number, float, int} and types & {Number, float}:
             out = pa.array([None if v is None else float(v) for v in values], pa.float64())
             return out if not any(v is not None and not math.isfinite(v) for v in values) else None
-        if kind == "timestamp" and types <= {str} and all(v is None or (len(v) == 20 and v[10] == "T" and v[19] == "Z") for v in values):
+        if kind == "timestamp" and types <= {str} and all(v is None or (len(v) == 20 and v[0] != "0" and v[10] == "T" and v[19] == "Z") for v in values):
             return pa.array([None if v is None else v[:19] for v in values], pa.string()).cast(pa.timestamp("us")).cast(pa.timestamp("us", tz="UTC"))
     except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError):
         return None

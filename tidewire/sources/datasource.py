@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType, VariantVal
 
 from ..errors import ConfigError, EngineError
 from ..functions import pointers
+from ..functions.columnar import PageReader, array, reader
 from ..functions.convert import TYPES, Counts, column, compact, inexact, instant
 from ..operators.joins import child_records, parent_keys
 from ..streaming.checkpoints import Store
@@ -138,7 +139,7 @@ class Pushed:
         return [Part(self.params | {p.start_param: x, p.end_param: y}, rate=r) for x, y, r in zip(edges, edges[1:], rates)]
 
 
-def batches(spec: TableSpec, records: list, needed: set[str] | None, counts: Counts | None) -> pa.RecordBatch:
+def batches(spec: TableSpec, records: list | pa.StructArray, needed: set[str] | None, counts: Counts | None) -> pa.RecordBatch:
     """Records as a batch; columns that aren't needed are NULL and never converted."""
     arrays, fields = [], []
     for c in spec.columns:
@@ -147,6 +148,9 @@ def batches(spec: TableSpec, records: list, needed: set[str] | None, counts: Cou
         if needed is not None and c.name not in needed:
             arrays.append(pa.nulls(len(records), kind))
             continue
+        if isinstance(records, pa.StructArray):
+            arrays.append(array(records, c, counts))
+            continue
         if len(c.path) == 1:
             k = c.path[0]
             values = [r.get(k) if isinstance(r, dict) else None for r in records]
@@ -227,6 +231,7 @@ class RestReader(DataSourceReader):
         counts = Counts()
         size, state, latest = self.source.schema.batch_size, None, None
         client.exact = self.spec.variant or self.spec.kind == "child"
+        client.columns = self._columnar(store)
         for page in ahead(self._pages(client, part, start, params), self.source.schema.prefetch):
             state = page.state or state
             if store and c.mode == "timestamp":
@@ -245,16 +250,25 @@ class RestReader(DataSourceReader):
         if self.metrics:
             metrics.write(self.metrics, {"table": self.spec.name, "converted": counts.converted, "nulled": counts.nulled})
 
+    def _columnar(self, store: Store | None) -> PageReader | None:
+        """The reader of whole pages; None where records are looked at one by one, or counted by another list."""
+        paging, data_path = self.spec.paging, self.spec.table.data_path
+        if self.spec.variant or self.spec.kind != "base" or self.source.http.response_format != "json" or store and self.spec.table.checkpoint.mode == "timestamp":
+            return None
+        if paging.style == "offset" and paging.results_path not in (None, data_path):
+            return None
+        return reader(self.spec.columns, self.needed, data_path, paging.cursor_path if paging.style == "cursor" else None)
+
     def _raw(self, records: list) -> bool:
         """Whether a text column would show numbers, whose source text is needed then."""
         texts = [c for c in self.spec.columns if c.type == "string" and (self.needed is None or c.name in self.needed)]
         return any(inexact(pointers.get(r, list(c.path)) if len(c.path) > 1 else r.get(c.path[0]) if isinstance(r, dict) else None) for c in texts for r in records)
 
-    def emit(self, records: list, counts: Counts | None) -> Iterator[Any]:
+    def emit(self, records: list | pa.StructArray, counts: Counts | None) -> Iterator[Any]:
         if self.spec.variant:
             for r in records:
                 yield (None if r is None else VariantVal.parseJson(compact(r)),)
-        elif records:
+        elif len(records):
             yield batches(self.spec, records, self.needed, counts)
 
     def _aggregate(self, client: Client, params: dict[str, str]) -> tuple:

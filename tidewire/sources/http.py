@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from ..errors import ApiError, EngineError
+from ..functions.columnar import PageReader
 from .config import Auth, Http
 
 _RETRIED = (http.client.HTTPException, ConnectionError, TimeoutError, OSError)
@@ -149,6 +150,7 @@ class Client:
     def __init__(self, settings: Http, auth: Auth = Auth(), base_url: str = "", rate: float | None = None, sleep: Callable[[float], None] = time.sleep):
         self.settings, self.auth, self.base, self.sleep = settings, auth, base_url.rstrip("/"), sleep
         self.exact = True  # whether numbers keep their source text
+        self.columns: PageReader | None = None  # reads pages as columns, where it can
         self.limiter = RateLimiter(rate if rate is not None else settings.rate_limit, sleep=sleep)
         self.token = Token(auth, settings.timeout) if auth.type == "oauth2" else None
         self.connections: dict[tuple[str, str, int], http.client.HTTPConnection] = {}

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
+import pyarrow as pa
+
 from ..errors import EngineError
 from ..functions import pointers
 from ..functions.convert import loads
@@ -23,9 +25,9 @@ log = logging.getLogger("tidewire")
 
 @dataclass
 class Page:
-    """The records of a page, and the position to resume from after it. again: reads them once more, exactly."""
+    """The records of a page, values or columns, and the position to resume from. again: reads them once more, exactly."""
 
-    records: list
+    records: list | pa.StructArray
     state: str | None = None
     again: Callable[[], list] | None = None
 
@@ -46,10 +48,30 @@ def next_link(header: str | None, url: str) -> str | None:
     return None
 
 
-def _page(client: Client, got: Response, body: Any, data_path: str | None, state: str | None = None) -> Page:
-    records = pointers.records(body, data_path)
-    n = len(records)
-    return Page(records, state, None if client.exact else lambda: pointers.records(_json(got.body, got.url), data_path)[:n])
+@dataclass
+class Body:
+    """A response read as columns, with the cursor that it holds, or as a value."""
+
+    response: Response
+    value: Any = None
+    records: pa.StructArray | None = None
+    cursor: str | None = None
+
+    def find(self, data_path: str | None) -> list | pa.StructArray:
+        return pointers.records(self.value, data_path) if self.records is None else self.records
+
+    def page(self, client: Client, data_path: str | None, records: list | pa.StructArray, state: str | None = None) -> Page:
+        if self.records is not None or client.exact:
+            return Page(records, state)
+        n = len(records)
+        return Page(records, state, lambda: pointers.records(_json(self.response.body, self.response.url), data_path)[:n])
+
+
+def _read(client: Client, url: str) -> Body:
+    got = client.get(url)
+    if client.columns is not None and (found := client.columns.read(got.body)) is not None:
+        return Body(got, None, *found)
+    return Body(got, _json(got.body, got.url, client.exact))
 
 
 def _whole(text: str | None) -> int:
@@ -60,18 +82,17 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
     """Pages of an endpoint. start: a saved position. window: the offsets to read, the end excluded."""
     size_param = {paging.page_size_param: str(min(paging.max_page_size, limit) if limit else paging.max_page_size)} if paging.page_size_param else {}
     if paging.style == "none":
-        got = client.get(client.url(path, params))
-        yield _page(client, got, _json(got.body, got.url, client.exact), data_path)
+        body = _read(client, client.url(path, params))
+        yield body.page(client, data_path, body.find(data_path))
         return
     if paging.style == "cursor":
         cursor, held = start or None, 0
         for _ in range(paging.max_pages):
-            got = client.get(client.url(path, params | size_param | ({paging.cursor_param: cursor} if cursor else {})))
-            body = _json(got.body, got.url, client.exact)
-            found = pointers.get(body, paging.cursor_path)
+            body = _read(client, client.url(path, params | size_param | ({paging.cursor_param: cursor} if cursor else {})))
+            found = pointers.get(body.value, paging.cursor_path) if body.records is None else body.cursor
             after = found if isinstance(found, str) and found else None
             # the last page has no next cursor: the one that fetched it is saved, so that later records aren't missed
-            page = _page(client, got, body, data_path, after or cursor)
+            page = body.page(client, data_path, body.find(data_path), after or cursor)
             held += len(page.records)
             yield page
             if after is None or limit and held >= limit:
@@ -83,11 +104,11 @@ def pages(client: Client, path: str, params: dict[str, str], paging: Pagination,
         url, held = client.url(path, params | size_param), 0
         home = origin(url)
         for _ in range(paging.max_pages):
-            got = client.get(url)
-            page = _page(client, got, _json(got.body, got.url, client.exact), data_path)
+            body = _read(client, url)
+            page = body.page(client, data_path, body.find(data_path))
             held += len(page.records)
             yield page
-            after = next_link(got.headers.get("link"), url)
+            after = next_link(body.response.headers.get("link"), url)
             if after is None or limit and held >= limit:
                 return
             if client.auth.type != "none" and origin(after) != home:
@@ -109,15 +130,17 @@ def _offset(client: Client, path: str, params: dict[str, str], paging: Paginatio
             return
         ask = paging.max_page_size if left is None else min(left, paging.max_page_size)
         mine = {paging.offset_param: str(at)} | ({paging.page_size_param: str(ask)} if paging.page_size_param else {})
-        got = client.get(client.url(path, params | mine))
-        body = _json(got.body, got.url, client.exact)
-        found = body if results is None else pointers.get(body, results)
-        if isinstance(found, list):
-            if not found:
-                return
+        body = _read(client, client.url(path, params | mine))
+        found = body.records if body.records is not None else body.value if results is None else pointers.get(body.value, results)
+        if isinstance(found, (list, pa.StructArray)):
             held = len(found)
+            if not held:
+                return
             if left is not None and held > left:  # more than asked for: the rest belongs to the next window
-                del found[left:]
+                if body.records is None:
+                    del found[left:]
+                else:
+                    body.records = found[:left]
                 held = left
         elif results is not None:
             return
@@ -126,7 +149,7 @@ def _offset(client: Client, path: str, params: dict[str, str], paging: Paginatio
         at += held
         if left is not None:
             left -= held
-        yield _page(client, got, body, data_path, str(at))
+        yield body.page(client, data_path, body.find(data_path), str(at))
     if left is None or left > 0:
         _cut_short(path, paging)
 
