@@ -131,3 +131,15 @@ def test_no_documents(no_docs, spark):
     assert op.score(no_docs).collect() == []
     none = spark.createDataFrame([(None, "a b", None, None, None)], no_docs.schema)
     assert [tuple(r) for r in op.score(none).collect()] == [(None, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_shards_follow_the_memory():
+    size = lambda **conf: op.shard_bytes(lambda k, default: conf.get(k.removeprefix("spark.").replace(".", "_"), default))
+    assert size() == size(executor_memory="64g", driver_memory="64g") == op.FILTER_BYTES
+    assert size(executor_cores="0", executor_memory="64g") == size(executor_cores="4", executor_memory="odd") == op.FILTER_BYTES
+    assert size(executor_cores="8", executor_memory="32g", driver_memory="16g") == 256 << 20
+    assert size(executor_cores="8", executor_memory="64g", driver_memory="4096m") == 256 << 20
+    assert size(executor_cores="8", executor_memory="64g", driver_memory="64g") == 256 << 20
+    assert size(executor_cores="8", executor_memory="64g", driver_memory="64g", driver_maxResultSize="4g") == 512 << 20
+    assert size(executor_cores="8", executor_memory="64g", driver_memory="64g", driver_maxResultSize="0") == 512 << 20
+    assert size(executor_cores="8", executor_memory="4g", driver_memory="64g") == op.FILTER_BYTES

@@ -10,7 +10,7 @@
    training tokens than a range should hold is hot: its pairs are dealt by their own hash, and its followers, counted
    range by range, are added up and broadcast beside the filter. A token's training count, which every chunk has by
    then, tells whether it is hot, so no task holds all pairs of a common token, and there are at most ``HOT`` hot ones.
-4. Filters are broadcast in shards of at most ``FILTER_BYTES``. For each shard a pass over the chunks, by now staged
+4. Filters are broadcast in shards of a size that follows the executors' memory (``shard_bytes``). For each shard a pass over the chunks, by now staged
    with their tokens' counts, adds up the tokens whose pair is in its ranges: memory stays bounded whatever the corpus, and
    a pass shuffles nothing. A count is read back by probing level after level until one is missing. The probability
    interpolates the pair with the unigram by absolute discounting: max(c(u,w) - D, 0) / c(u) + D T(u) / c(u) * p(w),
@@ -24,7 +24,8 @@ any length are read in full.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,11 @@ ALPHA = 0.1
 DISCOUNT = 0.75
 BASE = 1.5
 BITS, PROBES = 10, 5
-#: Bytes of text in a chunk, pairs of a range, and bytes of a broadcast shard of the filter.
+#: Bytes of text in a chunk, pairs of a range, and the least bytes of a broadcast shard of the filter.
 CHUNK, RANGE, FILTER_BYTES = 8 << 20, 1 << 20, 52 << 20
+#: What a shard may take of an executor's heap for each of its cores, as each worker holds it, of the driver's heap, which
+#: holds it some times over, and of what may be collected at once.
+OF_CORE, OF_DRIVER, OF_RESULT = 1 / 16, 1 / 16, 1 / 4
 #: Bits of a pair within its range: at a million pairs a range, fewer than one of them is taken for another.
 NARROW = U64((1 << 40) - 1)
 #: Bits of a context within its range, and the bit that marks a hot one; a token is hot with over one in HOT of all.
@@ -339,10 +343,31 @@ def _score(kind: pa.DataType, n: int, v: int, limit: int, filters):
     return run
 
 
-def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, range_pairs: int = RANGE) -> DataFrame:
-    """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one for each row of docs."""
+def _bytes(setting: str) -> int:
+    """A size as Spark's settings have it, MB without a unit; 0 if it is none."""
+    m = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", setting.strip().lower())
+    return int(m[1]) << {"k": 10, "": 20, "m": 20, "g": 30, "t": 40}[m[2]] if m else 0
+
+
+def shard_bytes(get: Callable[[str, str], str]) -> int:
+    """The bytes of a shard, from the cluster's settings; without a number of cores, or in a small cluster, FILTER_BYTES."""
+    cores = get("spark.executor.cores", "")
+    if not cores.isdigit() or not int(cores):
+        return FILTER_BYTES
+    core, driver = _bytes(get("spark.executor.memory", "1g")) / int(cores), _bytes(get("spark.driver.memory", "1g"))
+    result = get("spark.driver.maxResultSize", "1g")
+    most = math.inf if result == "0" else (int(result) if result.isdigit() else _bytes(result)) * OF_RESULT
+    return max(FILTER_BYTES, int(min(core * OF_CORE, driver * OF_DRIVER, most)))
+
+
+def score(docs: DataFrame, filter_bytes: int | None = None, range_pairs: int = RANGE) -> DataFrame:
+    """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one for each row of docs.
+
+    filter_bytes: of a shard of the filter; the scores are the same with any.
+    """
     spark = docs.sparkSession
     importable(spark)
+    filter_bytes = filter_bytes or shard_bytes(spark.sparkContext.getConf().get)
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(docs.schema["doc_id"].dataType)
