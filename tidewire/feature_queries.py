@@ -41,7 +41,7 @@ def _rows(sf_dir: str, name: str) -> list[str]:
 
 
 def _row_schema(sf_dir: str, name: str) -> dict:
-    return schema_of(api(sf_dir).resources[name].table)
+    return schema_of(api(sf_dir).resources[name].schema)
 
 
 def _array(item: dict) -> dict:

@@ -16,7 +16,7 @@ from .session import prepare
 from .sources import config as configs
 from .sources import hocon
 from .sources.datasource import RestSource
-from .testing.mockapi import MockApi, describe, table
+from .testing.mockapi import MockApi, describe
 
 CONFIG = """
 openapi = "mock"            # the description is passed in
@@ -92,7 +92,7 @@ def api(sf_dir: str) -> MockApi:
             ("lineitem", "l_orderkey", None, None),
             ("events", "event_id", "ts", None),
         ):
-            m.add(name, table(sf_dir, name), order, time, enums)
+            m.add(name, f"{sf_dir}/{name}.parquet", order, time, enums)
         m.children["orders"] = ("customer", "o_custkey")
         m.arrays["customer_orders"] = ("customer", "orders", "o_custkey")
         _APIS[sf_dir] = m.start()
