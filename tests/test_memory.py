@@ -14,6 +14,7 @@ COPIES, LIMIT_MB = 20, 20
 KEYS = {"c_custkey": "customer", "o_custkey": "customer", "s_suppkey": "supplier", "l_suppkey": "supplier", "p_partkey": "part", "l_partkey": "part", "o_orderkey": "orders", "l_orderkey": "orders", "event_id": "events"}
 QUERIES = [
     "a1_count",
+    "a2_count_column",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
