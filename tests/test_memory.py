@@ -15,6 +15,7 @@ KEYS = {"c_custkey": "customer", "o_custkey": "customer", "s_suppkey": "supplier
 QUERIES = [
     "a1_count",
     "a2_count_column",
+    "a4_aggregates",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
