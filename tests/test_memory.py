@@ -16,6 +16,7 @@ QUERIES = [
     "a1_count",
     "a2_count_column",
     "a4_aggregates",
+    "a7_distinct_declined",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
