@@ -17,6 +17,7 @@ QUERIES = [
     "a2_count_column",
     "a4_aggregates",
     "a7_distinct_declined",
+    "a3_sum",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
