@@ -18,6 +18,7 @@ QUERIES = [
     "a4_aggregates",
     "a7_distinct_declined",
     "a3_sum",
+    "a5_minmax_declined",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
