@@ -19,6 +19,7 @@ QUERIES = [
     "a7_distinct_declined",
     "a3_sum",
     "a5_minmax_declined",
+    "a7_group_declined",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
