@@ -20,6 +20,7 @@ QUERIES = [
     "a3_sum",
     "a5_minmax_declined",
     "a7_group_declined",
+    "c1_checkpoint_incremental",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
