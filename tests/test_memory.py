@@ -21,6 +21,7 @@ QUERIES = [
     "a5_minmax_declined",
     "a7_group_declined",
     "c1_checkpoint_incremental",
+    "c5_checkpoint_timestamp",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
