@@ -22,6 +22,7 @@ QUERIES = [
     "a7_group_declined",
     "c1_checkpoint_incremental",
     "c5_checkpoint_timestamp",
+    "e2_explode_outer",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
