@@ -23,6 +23,7 @@ QUERIES = [
     "c1_checkpoint_incremental",
     "c5_checkpoint_timestamp",
     "e2_explode_outer",
+    "e1_explode_inner",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
