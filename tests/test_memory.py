@@ -24,6 +24,7 @@ QUERIES = [
     "c5_checkpoint_timestamp",
     "e2_explode_outer",
     "e1_explode_inner",
+    "c4_failing_block",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
