@@ -25,6 +25,7 @@ QUERIES = [
     "e2_explode_outer",
     "e1_explode_inner",
     "c4_failing_block",
+    "e3_explode_objects",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -26,6 +26,8 @@ from .testing.mockapi import describe, schema_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CART_ORDERS = 10_000
+
 
 def own(spark: SparkSession, sf_dir: str, name: str, text: str, paths: dict[str, Any], media: str = "application/json", **values: str) -> Engine:
     """An engine over some paths of the API, described by the schemas given."""
@@ -203,13 +205,28 @@ def _pushed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays of objects as rows with the objects' columns."""
     m = api(sf_dir)
-    orders: dict[int, list[dict]] = {}
-    for r in m.resources["orders"].table.select(["o_custkey", "o_orderkey", "o_totalprice"]).to_pylist():
-        orders.setdefault(r.pop("o_custkey"), []).append(r)
-    m.routes["/carts"] = json.dumps([{"c_custkey": k, "cart": v} for k, v in orders.items()])
+    orders = m.keyed("orders", "o_custkey")
+
+    def answer(q, h, b):
+        """Whole carts from a row on, until they hold as many orders as a page should."""
+        at, carts, n = int(q.get("cursor") or 0), [], 0
+        for rows in orders.cut({}, at, len(orders.rows)):
+            for r in rows.select(["o_custkey", "o_orderkey", "o_totalprice"]).to_pylist():
+                k = r.pop("o_custkey")
+                if not carts or carts[-1]["c_custkey"] != k:
+                    if n >= CART_ORDERS:
+                        return {"items": carts, "next": str(at + n)}
+                    carts.append({"c_custkey": k, "cart": []})
+                carts[-1]["cart"].append(r)
+                n += 1
+        return {"items": carts, "next": ""}
+
+    m.routes["/carts"] = answer
     item = {"type": "object", "properties": {"o_orderkey": {"type": "integer"}, "o_totalprice": {"type": "number"}}}
     schema = {"type": "object", "properties": {"c_custkey": {"type": "integer"}, "cart": _array(item)}}
-    e = own(spark, sf_dir, "carts", 'schema { array-handling = both }\ntables { carts { endpoint = "/carts" } }', {"/carts": _array(schema)})
+    page = {"type": "object", "properties": {"items": _array(schema), "next": {"type": "string"}}}
+    text = 'schema { array-handling = both }\npagination { style = cursor, cursor-path = "/next", max-pages = ${PAGES} }\ntables { carts { endpoint = "/carts", data-path = "/items" } }'
+    e = own(spark, sf_dir, "carts", text, {"/carts": page}, PAGES=str(1 + len(orders.rows)))
     return e.sql(f"SELECT c_custkey, cart_o_orderkey AS o_orderkey, cart_o_totalprice AS o_totalprice FROM {e.name}.carts_cart")
 
 
