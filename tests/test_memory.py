@@ -26,6 +26,7 @@ QUERIES = [
     "e1_explode_inner",
     "c4_failing_block",
     "e3_explode_objects",
+    "e4_exploded_listing",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
