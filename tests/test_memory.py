@@ -27,6 +27,7 @@ QUERIES = [
     "c4_failing_block",
     "e3_explode_objects",
     "e4_exploded_listing",
+    "e6_strict_in_variant",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
