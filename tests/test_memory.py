@@ -28,6 +28,7 @@ QUERIES = [
     "e3_explode_objects",
     "e4_exploded_listing",
     "e6_strict_in_variant",
+    "f1_filter_eq",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
