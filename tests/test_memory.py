@@ -29,6 +29,7 @@ QUERIES = [
     "e4_exploded_listing",
     "e6_strict_in_variant",
     "f1_filter_eq",
+    "f2_verified_filter",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
