@@ -30,6 +30,7 @@ QUERIES = [
     "e6_strict_in_variant",
     "f1_filter_eq",
     "f2_verified_filter",
+    "f1_filter_gt_lte",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
