@@ -31,6 +31,7 @@ QUERIES = [
     "f1_filter_eq",
     "f2_verified_filter",
     "f1_filter_gt_lte",
+    "f1_filter_neq",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
