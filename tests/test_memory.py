@@ -32,6 +32,7 @@ QUERIES = [
     "f2_verified_filter",
     "f1_filter_gt_lte",
     "f1_filter_neq",
+    "f3_filter_range",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
