@@ -33,6 +33,7 @@ QUERIES = [
     "f1_filter_gt_lte",
     "f1_filter_neq",
     "f3_filter_range",
+    "f5_filter_time",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
