@@ -34,6 +34,7 @@ QUERIES = [
     "f1_filter_neq",
     "f3_filter_range",
     "f5_filter_time",
+    "f4_reserved_parameter",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
