@@ -35,6 +35,7 @@ QUERIES = [
     "f3_filter_range",
     "f5_filter_time",
     "f4_reserved_parameter",
+    "f6_filter_residual",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
