@@ -36,6 +36,7 @@ QUERIES = [
     "f5_filter_time",
     "f4_reserved_parameter",
     "f6_filter_residual",
+    "g1_rollup",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
